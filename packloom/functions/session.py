@@ -44,6 +44,14 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the driver ends, if its JVM still runs."""
+    try:
+        delete(spark, path)
+    except Exception:  # noqa: BLE001 - nothing depends on it
+        pass
+
+
 def settle(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -51,4 +59,5 @@ def settle(df: DataFrame) -> tuple[DataFrame, str]:
     """
     path = f"{shared_dir(df.sparkSession)}/packloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    atexit.register(_forget, df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
