@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packloom.functions.session import ship
-from packloom.llm import unify
+from packloom.llm import neardup, unify
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -25,6 +25,20 @@ def p1_canonical(spark: SparkSession, d: str) -> DataFrame:
     return unify.with_form(_read(spark, d, "chunks").select("chunk_index", "text")).select("chunk_index", "canonical")
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    chunks = _read(spark, d, "chunks").select(F.lit("chunks").alias("tab"), F.col("chunk_index").alias("k"), F.col("text").alias("t"))
+    snippets = _read(spark, d, "citations").select(F.lit("citations").alias("tab"), F.col("citation_id").alias("k"), F.col("snippet").alias("t"))
+    return chunks.union(snippets)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.similar_pairs(_texts(spark, d), 0.7)
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.groups(_texts(spark, d), 0.7)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
