@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packloom.functions.session import ship
+from packloom.functions.session import settle, ship
+from packloom.functions.text import not_blank
 from packloom.llm import chars
+from packloom.llm.classes import spelled_pairs
 
 
 def canonical_sql(column: str) -> str:
@@ -79,11 +81,6 @@ def alike_pairs(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     result. Rows with a null key are left out, repeated (key, text) rows count once; ties can't arise.
     """
     rows = with_form(df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null"), "t", "c")
-    rows = rows.where(F.length(F.btrim("c", F.lit(" \t\n\r"))) > 0).select("k", F.md5("c").alias("form"), F.md5("t").alias("raw"))
-    classes = rows.groupBy("form", "raw").agg(F.min("k").alias("least"))
-    many = classes.groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select("form")
-    members = rows.join(many, "form", "left_semi").distinct()
-    spelled = classes.join(many, "form", "left_semi").select("form", "raw")
-    links = spelled.alias("x").join(spelled.alias("y"), "form").where("x.raw < y.raw").select("form", F.col("x.raw").alias("raw"), F.col("y.raw").alias("raw2"))
-    one = members.join(links, ["form", "raw"]).select("form", F.col("raw2").alias("raw"), F.col("k").alias("k1"))
-    return one.join(members, ["form", "raw"]).select(F.least("k1", "k").alias("a"), F.greatest("k1", "k").alias("b")).distinct()
+    rows = rows.where(not_blank("c")).select("k", F.md5("c").alias("form"), F.md5("t").alias("raw"))
+    rows, _ = settle(rows)  # else each of the joins below runs DuckDB anew
+    return spelled_pairs(rows, ["form"]).select("a", "b")
