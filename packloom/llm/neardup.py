@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.functions.session import settle, ship
+from packloom.functions.text import not_blank
 from packloom.llm.classes import components, spelled_pairs
 
 WIDTH = 5
-BANDS, ROWS = 42, 6
-"""A pair at similarity 0.7 shares a band with probability 1 - (1 - 0.7 ** 6) ** 42 = 0.995, at 0.75 with 0.9997."""
+MINIMA, BANDS, ROWS = 128, 40, 6
+"""Each band takes 6 of the 128 minima. A pair at similarity 0.7 shares a band with probability 0.987, at 0.75 0.998."""
 SKETCH = 64
 AGREE = 28
 """Of 64 minima of a pair at 0.7 some 45 agree; fewer than 28 do with a probability under 0.00001."""
@@ -32,11 +33,16 @@ def normal(text: str) -> str:
     return BLANKS.sub(" ", text.lower())
 
 
-def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """n universal hash functions a * x + b modulo 2 ** 32; the first ones are the same for every n."""
-    rng = np.random.default_rng(20_24)
-    draws = rng.integers(1, 2**32, (n, 2), dtype=np.uint64)
-    return (draws[:, 0] | np.uint64(1)).astype(np.uint32), draws[:, 1].astype(np.uint32)
+def _family(n: int) -> np.ndarray:
+    """The odd factors of n universal hash functions a * x modulo 2 ** 32."""
+    return (np.random.default_rng(2024).integers(1, 2**32, n, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+
+
+def _places() -> np.ndarray:
+    """Which minima each band takes: whole rounds through all of them in random order, so each is used as often."""
+    rng = np.random.default_rng(6)
+    rounds = [rng.permutation(MINIMA)[: MINIMA // ROWS * ROWS] for _ in range(-(-BANDS * ROWS // (MINIMA // ROWS * ROWS)))]
+    return np.concatenate(rounds).reshape(-1, ROWS)[:BANDS]
 
 
 def shingles(text: str) -> np.ndarray:
@@ -57,7 +63,7 @@ class Minima:
     """Least values of a family of hash functions over a text's shingles, any length, in a buffer of fixed size."""
 
     def __init__(self, n: int, block: int = 1024) -> None:
-        self.a, self.b = (x[:, None] for x in _family(n))
+        self.a = _family(n)[:, None]
         self.n, self.block, self.room = n, block, np.empty(n * block, np.uint32)
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
@@ -66,7 +72,6 @@ class Minima:
             part = h[None, i : i + self.block]
             room = self.room[: self.n * part.shape[1]].reshape(self.n, -1)
             np.multiply(self.a, part, out=room)
-            np.add(room, self.b, out=room)
             np.minimum(out, room.min(axis=1), out=out)
         return out
 
@@ -81,43 +86,39 @@ def _class(tab: str, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{tab}\0{text}".encode("utf-8", "surrogatepass")) - 2**63
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tab, t) -> (key, cls), a row for each band of each class; a partition sends each class once."""
-    minima, seen = Minima(BANDS * ROWS), set()
-    odd = _mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-    place = _mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
-    for batch in batches:
-        found, ids = [], []
-        for tab, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            text = normal(text)
-            c = _class(tab, text)
-            if c not in seen and len(text) >= WIDTH:
-                seen.add(c)
-                found.append(minima(shingles(text)) + np.uint32(len(tab)))
-                ids.append(c)
-        if ids:
-            keys = (np.stack(found).reshape(len(ids), BANDS, ROWS).astype(np.uint64) * odd).sum(axis=2, dtype=np.uint64)
-            keys = _mix(keys + place).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.array(ids, np.int64), BANDS))], ["key", "cls"])
-
-
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tab, k, t) -> (tab, k, cls, raw, sketch)."""
-    minima = Minima(SKETCH)
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(tab, k, t) -> (tab, k, cls, raw, minima, once): 16 bits of each minimum; once: the partition's first of its class."""
+    minima, seen = Minima(MINIMA), set()
     for batch in batches:
-        cls, raw, sketch = [], [], []
+        cls, raw, least, once = [], [], [], []
         for tab, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
             low = normal(text)
-            cls.append(_class(tab, low))
+            c = _class(tab, low)
+            cls.append(c)
             raw.append(xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass")))
-            sketch.append(minima(shingles(low)).astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.binary()), pa.array(sketch, pa.binary())], ["tab", "k", "cls", "raw", "sketch"])
+            least.append(minima(shingles(low)).astype(np.uint16).tobytes())
+            once.append(c not in seen and len(low) >= WIDTH)
+            seen.add(c)
+        arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.binary()), pa.array(least, pa.binary()), pa.array(once, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(arrays, ["tab", "k", "cls", "raw", "minima", "once"])
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, minima, tab) -> (key, cls), a row for each band; keys of different tables differ."""
+    odd = _mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+    place, take = _mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64)), _places()
+    for batch in batches:
+        if batch.num_rows:
+            least = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, MINIMA).astype(np.uint64)
+            tab = np.array([xxhash.xxh3_64_intdigest(t) for t in batch.column(2).to_pylist()], np.uint64)
+            keys = _mix((least[:, take] * odd).sum(axis=2, dtype=np.uint64) + place + tab[:, None]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "cls"])
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, sa, sb) -> (a, b) of the pairs whose sketches agree in at least AGREE places."""
     for batch in batches:
-        rows = lambda i: np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH)  # noqa: E731, B023
+        rows = lambda i: np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, SKETCH)  # noqa: E731, B023
         if batch.num_rows:
             keep = (rows(2) == rows(3)).sum(axis=1) >= AGREE
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
@@ -148,23 +149,24 @@ def class_links(rows: DataFrame, least: float = 0.7) -> tuple[DataFrame, DataFra
     """
     ship(rows.sparkSession)
     rows = rows.where("k is not null and t is not null").select(F.col("tab").cast("string"), F.col("k").cast("long"), "t")
-    rows = rows.where(F.length(F.btrim("t", F.lit(" \t\n\r"))) > 0)
-    keyed = rows.select("tab", "t").mapInArrow(_bands, "key long, cls long").repartition(F.col("key"))
+    rows = rows.where(not_blank("t"))
+    members, _ = settle(rows.select("tab", "k", "t").mapInArrow(_signatures, "tab string, k long, cls long, raw binary, minima binary, once boolean"))
+    keyed = members.where("once").select("cls", "minima", "tab").mapInArrow(_bands, "key long, cls long").repartition(F.col("key"))
     lowest, highest = F.expr("min(cls) over (partition by key)"), F.expr("max(cls) over (partition by key)")
     shared = keyed.withColumns({"lo": lowest, "hi": highest}).where("lo < hi").select("key", "cls").dropDuplicates()
     shared, _ = settle(shared)
-    candidates = shared.alias("x").join(shared.withColumnRenamed("cls", "b"), "key").where("cls < b").select(F.col("cls").alias("a"), "b").distinct()
-    members, _ = settle(rows.mapInArrow(_members, "tab string, k long, cls long, raw binary, sketch binary"))
-    sketches = members.groupBy("cls").agg(F.min("sketch").alias("s"), F.min("tab").alias("tab"), F.min("k").alias("k"))
+    candidates = shared.join(shared.withColumnRenamed("cls", "b"), "key").where("cls < b").select(F.col("cls").alias("a"), "b").distinct()
+    sketches = members.where("once").select("cls", F.substring("minima", 1, 2 * SKETCH).alias("s")).groupBy("cls").agg(F.min("s").alias("s"))
     sketch = lambda x, s: sketches.select(F.col("cls").alias(x), F.col("s").alias(s))
     likely = candidates.join(sketch("a", "sa"), "a").join(sketch("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long")
     likely, _ = settle(likely)
     needed = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct()
-    texts = rows.join(sketches.join(needed, "cls").select("tab", "k", "cls"), ["tab", "k"]).groupBy("cls").agg(F.min("t").alias("t"))
+    first = members.join(needed, "cls", "left_semi").groupBy("tab", "cls").agg(F.min("k").alias("k"))
+    texts = rows.join(first, ["tab", "k"]).groupBy("cls").agg(F.min("t").alias("t"))
     text = lambda x, t: texts.select(F.col("cls").alias(x), F.col("t").alias(t))
     pairs = likely.join(text("b", "tb"), "b").join(text("a", "ta"), "a").select("a", "b", "ta", "tb")
     links = pairs.sortWithinPartitions("a").mapInArrow(lambda it: _similar(it, least), "a long, b long, similarity double")
-    return links, members.drop("sketch")
+    return links, members.select("tab", "k", "cls", "raw")
 
 
 def similar_pairs(rows: DataFrame, least: float = 0.7) -> DataFrame:
