@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packloom.functions.session import ship
-from packloom.llm import neardup, unify
+from packloom.functions.text import SPACES
+from packloom.llm import leak, mix, neardup, spam, split, unify
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -39,16 +40,72 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(_texts(spark, d), 0.7)
 
 
+def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return split.pieces(split.pack_items(_read(spark, d, "chunks"), _read(spark, d, "citations"), _read(spark, d, "packs")))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_pieces(spark, d).where("piece = 1").select("tab", "id").distinct()  # what is cut has a second piece
+
+
+def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leak.leaks(_read(spark, d, "documents"), _read(spark, d, "benchmark_items"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_leaks(spark, d).where("exact_windows > 0").select("doc_id", "item_id")
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = mix.sized(_read(spark, d, "documents"))
+    return rows, mix.plan(rows, _read(spark, d, "mix_targets"))
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mix.mixture(*_mix(spark, d))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mix.shares(*_mix(spark, d))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_shares(spark, d).where("short").select("mix_id", "source")
+
+
+def p9_pages(spark: SparkSession, d: str) -> DataFrame:
+    documents = _read(spark, d, "documents")
+    return spam.pages(documents, spam.fitted(documents))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_pages(spark, d).where("spam").select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
+    blank = "".join(f" || chr({o})" for o in SPACES)[4:]
+    tokens = f"""SELECT doc_id, source, greatest(1, length(text) // 4) AS tokens FROM documents
+        WHERE source IS NOT NULL AND trim(coalesce(text, ''), {blank}) <> ''"""
     form = unify.canonical_sql("text")
     return {
         "p1_canonical": f"SELECT chunk_index, {form} AS canonical FROM chunks",
         "p1_found": f"""
             WITH f AS (SELECT chunk_index, text, {form} AS c FROM chunks WHERE text IS NOT NULL)
             SELECT a.chunk_index AS chunk_a, b.chunk_index AS chunk_b FROM f a JOIN f b USING (c)
-            WHERE a.chunk_index < b.chunk_index AND a.text <> b.text AND trim(c, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
+            WHERE a.chunk_index < b.chunk_index AND a.text <> b.text AND trim(c, {blank}) <> ''""",
+        "p6_found": f"""
+            SELECT 'chunks' AS tab, chunk_index AS id FROM chunks JOIN packs USING (pack_id)
+            WHERE greatest(1, length(text) // 4) > chunk_size AND trim(coalesce(text, ''), {blank}) <> ''
+            UNION ALL SELECT 'citations', citation_id FROM citations JOIN packs USING (pack_id)
+            WHERE end_char > start_char AND (end_char - start_char) // 4 > chunk_size""",
+        "p8_found": f"""
+            WITH own AS (SELECT source, sum(tokens) AS own FROM ({tokens}) GROUP BY source),
+            t AS (SELECT mix_id, source, weight, max_repeats, coalesce(own, 0) AS own FROM mix_targets LEFT JOIN own USING (source))
+            SELECT mix_id, source FROM (
+                SELECT *, weight / sum(weight) OVER w * CAST(sum(own) OVER w AS DOUBLE) AS budget FROM t WINDOW w AS (PARTITION BY mix_id))
+            WHERE budget > max_repeats * own""",
     }
