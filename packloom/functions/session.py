@@ -60,4 +60,6 @@ def settle(df: DataFrame) -> tuple[DataFrame, str]:
     path = f"{shared_dir(df.sparkSession)}/packloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_forget, df.sparkSession, path)
+    # the shuffles behind the table are needed no more; Spark deletes their files once the driver collects them
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path), path
