@@ -87,20 +87,22 @@ def _class(tab: str, text: str) -> int:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tab, k, t) -> (tab, k, cls, raw, minima, once): 16 bits of each minimum; once: the partition's first of its class."""
+    """(tab, k, t) -> (tab, k, cls, raw, minima, sketch, once): 16 bits of each minimum, 8 of some; once: a partition's first of a class."""
     minima, seen = Minima(MINIMA), set()
     for batch in batches:
-        cls, raw, least, once = [], [], [], []
+        cls, raw, least, sketch, once = [], [], [], [], []
         for tab, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
             low = normal(text)
             c = _class(tab, low)
             cls.append(c)
             raw.append(xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass")))
-            least.append(minima(shingles(low)).astype(np.uint16).tobytes())
+            m = minima(shingles(low))
+            least.append(m.astype(np.uint16).tobytes())
+            sketch.append(m[:SKETCH].astype(np.uint8).tobytes())
             once.append(c not in seen and len(low) >= WIDTH)
             seen.add(c)
-        arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.binary()), pa.array(least, pa.binary()), pa.array(once, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(arrays, ["tab", "k", "cls", "raw", "minima", "once"])
+        arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.binary()), pa.array(least, pa.binary()), pa.array(sketch, pa.binary()), pa.array(once, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(arrays, ["tab", "k", "cls", "raw", "minima", "sketch", "once"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +120,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, sa, sb) -> (a, b) of the pairs whose sketches agree in at least AGREE places."""
     for batch in batches:
-        rows = lambda i: np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, SKETCH)  # noqa: E731, B023
+        rows = lambda i: np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH)  # noqa: E731, B023
         if batch.num_rows:
             keep = (rows(2) == rows(3)).sum(axis=1) >= AGREE
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
@@ -150,13 +152,13 @@ def class_links(rows: DataFrame, least: float = 0.7) -> tuple[DataFrame, DataFra
     ship(rows.sparkSession)
     rows = rows.where("k is not null and t is not null").select(F.col("tab").cast("string"), F.col("k").cast("long"), "t")
     rows = rows.where(not_blank("t"))
-    members, _ = settle(rows.select("tab", "k", "t").mapInArrow(_signatures, "tab string, k long, cls long, raw binary, minima binary, once boolean"))
+    members, _ = settle(rows.select("tab", "k", "t").mapInArrow(_signatures, "tab string, k long, cls long, raw binary, minima binary, sketch binary, once boolean"))
     keyed = members.where("once").select("cls", "minima", "tab").mapInArrow(_bands, "key long, cls long").repartition(F.col("key"))
     lowest, highest = F.expr("min(cls) over (partition by key)"), F.expr("max(cls) over (partition by key)")
     shared = keyed.withColumns({"lo": lowest, "hi": highest}).where("lo < hi").select("key", "cls").dropDuplicates()
     shared, _ = settle(shared)
     candidates = shared.join(shared.withColumnRenamed("cls", "b"), "key").where("cls < b").select(F.col("cls").alias("a"), "b").distinct()
-    sketches = members.where("once").select("cls", F.substring("minima", 1, 2 * SKETCH).alias("s")).groupBy("cls").agg(F.min("s").alias("s"))
+    sketches = members.where("once").groupBy("cls").agg(F.min("sketch").alias("s"))
     sketch = lambda x, s: sketches.select(F.col("cls").alias(x), F.col("s").alias(s))
     likely = candidates.join(sketch("a", "sa"), "a").join(sketch("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long")
     likely, _ = settle(likely)
