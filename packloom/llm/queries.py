@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from packloom.functions.session import ship
 from packloom.functions.text import SPACES
-from packloom.llm import leak, mix, neardup, spam, split, unify
+from packloom.llm import leak, mix, neardup, sentences, spam, split, unify
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -40,6 +40,11 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(_texts(spark, d), 0.7)
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    chunks = _read(spark, d, "chunks")
+    return sentences.sentences(chunks, sentences.fitted(chunks, "chunk_index"), "chunk_index")
+
+
 def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.pieces(split.pack_items(_read(spark, d, "chunks"), _read(spark, d, "citations"), _read(spark, d, "packs")))
 
