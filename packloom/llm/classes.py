@@ -13,11 +13,10 @@ def spelled_pairs(rows: DataFrame, group: list[str]) -> DataFrame:
 
     Exact copies are joined as one, so a class that a third of all rows belong to costs no more than its result.
     """
-    spelled = rows.groupBy(*group, "raw").agg(F.min("k").alias("least")).drop("least")
-    many = spelled.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = rows.select(*group, "raw", "k").join(many, group, "left_semi")
-    spelled = spelled.join(many, group, "left_semi")
-    links = spelled.alias("x").join(spelled.withColumnRenamed("raw", "raw2"), group).where("raw < raw2")
+    many = rows.groupBy(*group).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo < hi").select(*group)
+    members, _ = settle(rows.select(*group, "raw", "k").join(many, group, "left_semi"))  # few: most classes have one spelling
+    spelled = members.groupBy(*group, "raw").agg(F.min("k").alias("least")).drop("least")
+    links = spelled.join(spelled.withColumnRenamed("raw", "raw2"), group).where("raw < raw2")
     one = members.join(links, [*group, "raw"]).select(*group, F.col("raw2").alias("raw"), F.col("k").alias("k1"))
     both = one.join(members, [*group, "raw"])
     return both.select(*group, F.least("k1", "k").alias("a"), F.greatest("k1", "k").alias("b")).distinct()

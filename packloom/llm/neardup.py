@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packloom.functions.session import settle, ship
+from packloom.functions.session import delete, settle, ship
 from packloom.functions.text import not_blank
 from packloom.llm.classes import components, spelled_pairs
 
@@ -95,13 +95,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = normal(text)
             c = _class(tab, low)
             cls.append(c)
-            raw.append(xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass")))
+            raw.append(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63)
             m = minima(shingles(low))
             least.append(m.astype(np.uint16).tobytes())
             sketch.append(m[:SKETCH].astype(np.uint8).tobytes())
             once.append(c not in seen and len(low) >= WIDTH)
             seen.add(c)
-        arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.binary()), pa.array(least, pa.binary()), pa.array(sketch, pa.binary()), pa.array(once, pa.bool_())]
+        arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.int64()), pa.array(least, pa.binary()), pa.array(sketch, pa.binary()), pa.array(once, pa.bool_())]
         yield pa.RecordBatch.from_arrays(arrays, ["tab", "k", "cls", "raw", "minima", "sketch", "once"])
 
 
@@ -152,11 +152,13 @@ def class_links(rows: DataFrame, least: float = 0.7) -> tuple[DataFrame, DataFra
     ship(rows.sparkSession)
     rows = rows.where("k is not null and t is not null").select(F.col("tab").cast("string"), F.col("k").cast("long"), "t")
     rows = rows.where(not_blank("t"))
-    members, _ = settle(rows.select("tab", "k", "t").mapInArrow(_signatures, "tab string, k long, cls long, raw binary, minima binary, sketch binary, once boolean"))
-    keyed = members.where("once").select("cls", "minima", "tab").mapInArrow(_bands, "key long, cls long").repartition(F.col("key"))
+    wide, path = settle(rows.select("tab", "k", "t").mapInArrow(_signatures, "tab string, k long, cls long, raw long, minima binary, sketch binary, once boolean"))
+    keyed = wide.where("once").select("cls", "minima", "tab").mapInArrow(_bands, "key long, cls long").repartition(F.col("key"))
     lowest, highest = F.expr("min(cls) over (partition by key)"), F.expr("max(cls) over (partition by key)")
     shared = keyed.withColumns({"lo": lowest, "hi": highest}).where("lo < hi").select("key", "cls").dropDuplicates()
     shared, _ = settle(shared)
+    members, _ = settle(wide.drop("minima"))
+    delete(rows.sparkSession, path)
     candidates = shared.join(shared.withColumnRenamed("cls", "b"), "key").where("cls < b").select(F.col("cls").alias("a"), "b").distinct()
     sketches = members.where("once").groupBy("cls").agg(F.min("sketch").alias("s"))
     sketch = lambda x, s: sketches.select(F.col("cls").alias(x), F.col("s").alias(s))
