@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from packloom.functions.session import ship
+from packloom.functions.session import settle, ship
 from packloom.functions.text import SPACES
-from packloom.llm import leak, mix, neardup, sentences, spam, split, unify
+from packloom.llm import language, leak, mix, neardup, neighbours, sentences, spam, split, unify
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -40,6 +40,36 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(_texts(spark, d), 0.7)
 
 
+def p2_nearest(spark: SparkSession, d: str) -> DataFrame:
+    out = neighbours.nearest(_read(spark, d, "chunk_vectors"))
+    return out.select(F.col("id").alias("vec_id"), F.col("other").alias("neighbour_id"), "cosine", "rank")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = neighbours.nearest(_read(spark, d, "chunk_vectors"))
+    return pairs.select(F.least("id", "other").alias("vec_a"), F.greatest("id", "other").alias("vec_b")).distinct()
+
+
+def p2_search(spark: SparkSession, d: str) -> DataFrame:
+    """Greedy search for every vector whose id is divisible by 50, against all vectors."""
+    rows, _ = settle(neighbours.prepared(_read(spark, d, "chunk_vectors"), "vec_id", "embedding", 384).select(F.col("id").alias("node"), "q"))
+    edges, _ = settle(neighbours.graph(rows, 384))
+    asked = rows.where("node % 50 = 0").select(F.col("node").alias("query"), "q")
+    found = neighbours.search(edges, rows, asked, 384, 11).where("query <> node")
+    order = Window.partitionBy("query").orderBy("rank")
+    found = found.withColumn("rank", F.row_number().over(order)).where("rank <= 10")
+    return found.select(F.col("query").alias("vec_id"), F.col("node").alias("neighbour_id"), "sim", "rank")
+
+
+def p3_segments(spark: SparkSession, d: str) -> DataFrame:
+    chunks = _read(spark, d, "chunks")
+    return language.segments(chunks, language.fitted(chunks, "chunk_index"), "chunk_index")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.mislabelled(p3_segments(spark, d), "chunk_index")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     chunks = _read(spark, d, "chunks")
     return sentences.sentences(chunks, sentences.fitted(chunks, "chunk_index"), "chunk_index")
