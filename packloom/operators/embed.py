@@ -23,7 +23,7 @@ def histogram(text: Column | str, dimensions: int = DIMENSIONS) -> Column:
     n = F.size(ordered)
     counts = F.aggregate(ordered, F.create_map().cast("map<int,int>"), lambda m, p: F.map_zip_with(m, F.create_map(p, F.lit(1)), lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))))
     filled = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.coalesce(counts[i] / n, F.lit(0.0)))
-    return F.when(n > 0, filled).otherwise(F.array_repeat(F.lit(0.0), dimensions)).cast("array<float>")
+    return F.when(n > 0, filled).otherwise(F.array_repeat(F.lit(0.0), dimensions))
 
 
 def histogram_long(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
