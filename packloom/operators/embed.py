@@ -17,13 +17,12 @@ DIMENSIONS = 384
 
 def histogram(text: Column | str, dimensions: int = DIMENSIONS) -> Column:
     """Shares of the code points below 256 in the lower-cased text, padded with zeros; all zeros if there are none."""
-    text = F.lower(F.col(text) if isinstance(text, str) else text)
-    points = F.filter(F.transform(F.split(text, ""), F.ascii), lambda p: (p > 0) & (p < 256))
-    ordered = F.array_sort(points)
-    n = F.size(ordered)
-    counts = F.aggregate(ordered, F.create_map().cast("map<int,int>"), lambda m, p: F.map_zip_with(m, F.create_map(p, F.lit(1)), lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.coalesce(counts[i] / n, F.lit(0.0)))
-    return F.when(n > 0, filled).otherwise(F.array_repeat(F.lit(0.0), dimensions))
+    low = F.lower(F.col(text) if isinstance(text, str) else text)
+    n = F.length(low)
+    never = {i for i in range(256) if i == 0 or chr(i).lower() != chr(i)}  # no such characters are left in lower case
+    counts = F.array(*[F.lit(0) if i in never or i > 255 else n - F.length(F.replace(low, F.lit(chr(i)), F.lit(""))) for i in range(dimensions)])
+    total = F.length(F.regexp_replace(low, r"[^\x{1}-\x{FF}]", ""))
+    return F.when(total > 0, F.zip_with(counts, F.array_repeat(total, dimensions), lambda x, t: x / t)).otherwise(F.array_repeat(F.lit(0.0), dimensions))
 
 
 def histogram_long(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
