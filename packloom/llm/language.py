@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packloom.functions.session import ship
+from packloom.functions.session import settle, ship
 from packloom.functions.text import not_blank
 from packloom.llm import chars
 
@@ -313,6 +313,7 @@ def mislabelled(found: DataFrame, key: str) -> DataFrame:
     A row per language in the text. Of languages with equally much text the first by name is the main one.
     """
     each = found.where("lang <> 'und'").groupBy(key, "lang").agg(F.sum("letters").alias("n"), F.max("label").alias("label"))
+    each, _ = settle(each)  # else both uses of it run the model
     main = each.groupBy(key).agg(F.max_by("lang", F.struct("n", -F.ascii("lang"), -F.ascii(F.substring("lang", 2, 1)))).alias("main"), F.count("*").alias("languages"), F.max("label").alias("label"))
     wrong = main.where("label is null or label <> main or languages > 1").select(key)
     return each.join(wrong, key, "left_semi").select(key, "lang")
