@@ -34,6 +34,8 @@ def read_rows(f: BinaryIO, first: int, count: int) -> np.ndarray:
     if columns_first:
         return np.frombuffer(f.read(), kind).reshape(shape[::-1]).T[first : first + count]
     width = int(np.prod(shape[1:], dtype=np.int64)) if len(shape) > 1 else 1
+    if not width or not shape[0]:
+        return np.zeros((0, width), kind)
     size = width * kind.itemsize
     if f.seekable():
         f.seek(first * size, 1)
