@@ -97,10 +97,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cls.append(c)
             raw.append(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63)
             m = minima(shingles(low))
-            least.append(m.astype(np.uint16).tobytes())
             half = (m[:SIGNATURE] & np.uint32(15)).astype(np.uint8)
             sketch.append(half[::2] << 4 | half[1::2])
             once.append(c not in seen and len(low) >= WIDTH)
+            least.append(m.astype(np.uint16).tobytes() if once[-1] else None)
             seen.add(c)
         words = np.stack(sketch).view(np.int64).T if sketch else np.zeros((4, 0), np.int64)
         arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.int64()), pa.array(least, pa.binary()), *map(pa.array, words), pa.array(once, pa.bool_())]
@@ -158,13 +158,14 @@ def class_links(rows: DataFrame, least: float = 0.7) -> tuple[DataFrame, DataFra
     lowest, highest = F.expr("min(cls) over (partition by key)"), F.expr("max(cls) over (partition by key)")
     shared = keyed.withColumns({"lo": lowest, "hi": highest}).where("lo < hi").select("key", "cls").dropDuplicates()
     signatures = wide.where("once").groupBy("cls").agg(*[F.min(w).alias(w) for w in WORDS])
-    shared, _ = settle(shared.join(signatures, "cls"))
+    shared, held = settle(shared.join(signatures, "cls"))
     members, _ = settle(wide.select("tab", "k", "cls", "raw"))
     delete(rows.sparkSession, path)
     others = shared.select("key", F.col("cls").alias("b"), *[F.col(w).alias(f"t{w}") for w in WORDS])
     agree = sum((_agreeing(w, f"t{w}") for w in WORDS), F.lit(0))
     likely = shared.join(others, "key").where((F.col("cls") < F.col("b")) & (agree >= AGREE)).select(F.col("cls").alias("a"), "b").distinct()
     likely, _ = settle(likely)
+    delete(rows.sparkSession, held)
     needed = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct()
     first = members.join(needed, "cls", "left_semi").groupBy("tab", "cls").agg(F.min("k").alias("k"))
     texts = rows.join(first, ["tab", "k"]).groupBy("cls").agg(F.min("t").alias("t"))
