@@ -49,7 +49,7 @@ def attach(hits: DataFrame, citations: DataFrame, key: str = "chunk_index") -> D
 
 
 def render(hits: DataFrame, scores: bool = True, most: int = 200) -> DataFrame:
-    """Each query's hits as text, in rank order: (``query_id``, ``output``)."""
+    """Each query's hits as text, in rank order: (``query_id``, ``output``). Scores round half up as decimals."""
     preview = F.when(F.length("chunk") > most, F.concat(F.substring("chunk", 1, most), F.lit("..."))).otherwise(F.col("chunk"))
     score = F.concat(F.lit("[Score: "), F.format_string("%.4f", "score"), F.lit("] ")) if scores else F.lit("")
     entry = F.concat(F.col("rank").cast("string"), F.lit(". "), score, preview)

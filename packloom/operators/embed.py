@@ -17,12 +17,16 @@ DIMENSIONS = 384
 
 def histogram(text: Column | str, dimensions: int = DIMENSIONS) -> Column:
     """Shares of the code points below 256 in the lower-cased text, padded with zeros; all zeros if there are none."""
-    low = F.lower(F.col(text) if isinstance(text, str) else text)
-    n = F.length(low)
-    never = {i for i in range(256) if i == 0 or chr(i).lower() != chr(i)}  # no such characters are left in lower case
-    counts = F.array(*[F.lit(0) if i in never or i > 255 else n - F.length(F.replace(low, F.lit(chr(i)), F.lit(""))) for i in range(dimensions)])
-    total = F.length(F.regexp_replace(low, r"[^\x{1}-\x{FF}]", ""))
-    return F.when(total > 0, F.zip_with(counts, F.array_repeat(total, dimensions), lambda x, t: x / t)).otherwise(F.array_repeat(F.lit(0.0), dimensions))
+
+    def count(values: pd.Series) -> pd.Series:
+        rows = []
+        for v in values:
+            points = np.frombuffer((v or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+            n = np.bincount(points[(points > 0) & (points < 256)], minlength=256)[:dimensions].astype(np.float64)
+            rows.append(np.pad(n / max(n.sum(), 1), (0, dimensions - len(n))))
+        return pd.Series(rows)
+
+    return F.pandas_udf(count, "array<double>")(F.col(text) if isinstance(text, str) else text)
 
 
 def histogram_long(texts: DataFrame, key: str, text: str = "text") -> DataFrame:

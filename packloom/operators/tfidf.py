@@ -12,20 +12,24 @@ from packloom.functions import stopwords
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
-def terms(text: Column | str, ngrams: tuple[int, int] = (1, 2), stop: tuple[str, ...] | None = None) -> Column:
-    """All n-grams of the words that aren't stop words; words on either side of a stop word count as neighbours."""
+def kept_words(text: Column | str, stop: tuple[str, ...] | None = None) -> Column:
+    """The lower-cased words of a text, without stop words."""
     low = F.lower(F.col(text) if isinstance(text, str) else text)
+    unwanted = list(stop if stop is not None else stopwords.load())
     words = F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0))
-    words = F.filter(words, lambda w: ~w.isin(list(stop if stop is not None else stopwords.load())))
-    grams = []
-    for n in range(ngrams[0], ngrams[1] + 1):
-        if n == 1:
-            grams.append(words)
-        else:
-            last = F.size(words) - n
-            starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-            grams.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i + 1, n), " ")))
-    return F.concat(*grams)
+    return F.filter(words, lambda w: ~w.isin(unwanted)) if unwanted else words
+
+
+def grams(words: str, ngrams: tuple[int, int] = (1, 2)) -> Column:
+    """All n-grams of an array column of words; words on either side of a stop word are neighbours."""
+    parts, longer = [], F.col(words)
+    for n in range(1, ngrams[1] + 1):
+        if n > 1:
+            m = F.greatest(F.size(words) - (n - 1), F.lit(0))
+            longer = F.zip_with(F.slice(longer, F.lit(1), m), F.slice(F.col(words), F.lit(n), m), lambda a, b: F.concat_ws(" ", a, b))
+        if n >= ngrams[0]:
+            parts.append(longer)
+    return F.concat(*parts)
 
 
 @dataclass
@@ -39,7 +43,8 @@ class Fitted:
 
 
 def _counts(rows: DataFrame, key: str, text: str, out: str, ngrams: tuple[int, int], stop: tuple[str, ...] | None) -> DataFrame:
-    each = rows.where(F.col(text).isNotNull()).select(F.col(key).alias(out), F.explode(terms(text, ngrams, stop)).alias("term"))
+    words = rows.where(F.col(text).isNotNull()).select(F.col(key).alias(out), kept_words(text, stop).alias("words"))
+    each = words.select(out, F.explode(grams("words", ngrams)).alias("term"))
     return each.groupBy(out, "term").agg(F.count("*").alias("tf"))
 
 

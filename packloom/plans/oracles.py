@@ -134,7 +134,7 @@ def oracle_sql() -> dict[str, str]:
             o AS (SELECT chunk_index, CAST(row_number() OVER (PARTITION BY chunk_index ORDER BY weight DESC, term) AS INTEGER) AS rank, term, weight FROM r) SELECT * FROM o WHERE rank <= 10""",
         "dense_vs_lexical": f"""WITH {TFIDF}, {ASKED}, {HISTOGRAMS}
             SELECT 'dense' AS method, query_id, rank, chunk_index, score FROM dense WHERE rank <= 5 UNION ALL SELECT 'lexical', query_id, rank, chunk_index, score FROM ranked WHERE rank <= 5""",
-        "result_format": f"""WITH {TFIDF}, {ASKED} SELECT query_id, string_agg(printf('%d. [Score: %.4f] %s', rank, score, {snippet('text')}), chr(10) || chr(10) ORDER BY rank) AS output
+        "result_format": f"""WITH {TFIDF}, {ASKED} SELECT query_id, string_agg(printf('%d. [Score: %.4f] %s', rank, CAST(round(CAST(score AS DECIMAL(18, 6)), 4) AS DOUBLE), {snippet('text')}), chr(10) || chr(10) ORDER BY rank) AS output
             FROM ranked JOIN documents ON doc_id = chunk_index WHERE rank <= 5 GROUP BY query_id""",
         "pack_roundtrip_zip": HARBOUR,
         "pack_roundtrip_dir": HARBOUR,

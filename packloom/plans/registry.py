@@ -133,9 +133,8 @@ def _formatted(spark: SparkSession, d: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, d: str) -> DataFrame:
     """Documents read as a stream until none is left, chunked in fixed mode, and counted from what was written."""
-    static = _read(spark, d, "documents")
-    stream = spark.readStream.schema(static.schema).parquet(f"{d}/documents.parquet")
-    rows = stream.select("doc_id", "text")
+    ship(spark)
+    rows = ingest.parquet(spark, f"{d}/documents.parquet").select("doc_id", "text")
     place = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     sink = lambda df, n: chunk.chunk(df, 512, 50, False).select("doc_id", "chunk_id").write.mode("overwrite").parquet(f"{place}/out/batch={n}")
     ingest.append(rows, place, f"{place}/state", sink).awaitTermination()

@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from packloom.operators import chunk, enrich
 
 
+def parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the Parquet files at ``path``, a folder or one file."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if status.isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
+
+
 def chunked(stream: DataFrame, size: int = 512, overlap: int = 50, arrived: str = "ingested_at", late: str = "7 days") -> DataFrame:
     """Enriched chunks of a stream of documents; copies of a ``doc_id`` within the ``late`` time are dropped.
 
