@@ -87,7 +87,7 @@ def _class(tab: str, text: str) -> int:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tab, k, t) -> (tab, k, cls, raw, minima, signature, once): 16 bits of each minimum, 4 of some; once: a partition's first of a class."""
+    """(tab, k, t) -> (tab, k, cls, raw, minima, signature, once): 8 bits of each minimum, 4 of some; once: a partition's first of a class."""
     minima, seen = Minima(MINIMA), set()
     for batch in batches:
         cls, raw, least, sketch, once = [], [], [], [], []
@@ -100,7 +100,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             half = (m[:SIGNATURE] & np.uint32(15)).astype(np.uint8)
             sketch.append(half[::2] << 4 | half[1::2])
             once.append(c not in seen and len(low) >= WIDTH)
-            least.append(m.astype(np.uint16).tobytes() if once[-1] else None)
+            least.append(m.astype(np.uint8).tobytes() if once[-1] else None)
             seen.add(c)
         words = np.stack(sketch).view(np.int64).T if sketch else np.zeros((4, 0), np.int64)
         arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.int64()), pa.array(least, pa.binary()), *map(pa.array, words), pa.array(once, pa.bool_())]
@@ -113,7 +113,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     place, take = _mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64)), _places()
     for batch in batches:
         if batch.num_rows:
-            least = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, MINIMA).astype(np.uint64)
+            least = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, MINIMA).astype(np.uint64)
             tab = np.array([xxhash.xxh3_64_intdigest(t) for t in batch.column(2).to_pylist()], np.uint64)
             keys = _mix((least[:, take] * odd).sum(axis=2, dtype=np.uint64) + place + tab[:, None]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "cls"])
