@@ -1,5 +1,6 @@
 """Operators on text, against brute force or held-out accuracy."""
 
+import random
 import unicodedata
 
 import pytest
@@ -11,7 +12,7 @@ EN = "The kiln log was copied by hand, although the second reader asked for a lo
 
 def _docs(spark, texts, more=""):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
-    return df.selectExpr("*", more) if more else df
+    return df.selectExpr("*", *more.split(", ")) if more else df
 
 
 def test_canonical_in_duckdb_equals_python(spark):
@@ -85,8 +86,19 @@ CASES = [
 
 
 def _trained():
-    text = [f'The reader no. {i} of the mill met Dr. Holm at 5 p.m. near the dam. {w} asked for a longer note. He said: "It failed. Try {i} again." The log was kept.\n\nThe end of the day came.' for i, w in enumerate(["Anna", "The clerk", "The team", "Early they"] * 40)]
-    return sentences.train(text)
+    rng, n = random.Random(1), 0
+    said = [
+        "The reader of the mill met Dr. Holm at no. {0} near the dam.", "Anna asked for a longer note.", "Early on {0} they left at 5 p.m. for the coast.", "The log was kept.",
+        'He said: "It failed. Try {0} again."', "One line wraps here.", "The team, cf. p. {0}, found the page.", "See a note on the wall.", "In the end nobody asked why.", "Next one is at the dam.",
+    ]
+    texts = []
+    for _ in range(200):
+        paragraphs = []
+        for _ in range(3):
+            n += 1
+            paragraphs.append(" ".join(rng.choices(said, k=4)).replace("{0}", str(n)))
+        texts.append("\n\n".join(paragraphs))
+    return sentences.train(texts)
 
 
 @pytest.mark.parametrize(("text", "want"), CASES)
