@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from packloom.functions.session import delete, settle, ship
 
-KEEP = 16
+KEEP = 20
 """Neighbours kept for each vector during the search; the answer is the best of them."""
-MEMBERS = 22
+MEMBERS = 32
 """Neighbours, either way, that a vector's join takes into account: new ones first, then the closest."""
 PIVOTS, BLOCK = 2048, 512
 """Most pivots, and the size at which a block is split at random. Later rounds mend what blocks cut apart."""
-ROUNDS, ENOUGH = 8, 0.01
+ROUNDS, ENOUGH = 10, 0.002
 """The search ends when fewer than this share of all neighbours is new, or after so many rounds."""
 SLACK = 0.01
 """The byte vectors' cosine errs by less; neighbours within it of the last place are checked exactly too."""
