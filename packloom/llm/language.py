@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from packloom.functions.session import settle, ship
 from packloom.functions.text import not_blank
 from packloom.llm import chars
+from packloom.llm.sample import least_hashed
 
 LANGUAGES = ("de", "en", "es", "fr", "hi", "ja", "pt", "ru", "th", "zh")
 # Codes and names of the languages; regional forms are told by what stands before "-" or "_".
@@ -275,9 +276,9 @@ def train(rows: list[tuple[str, str]]) -> Model:
 
 def fitted(df: DataFrame, key: str, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> Model:
     """A model trained on the ``sample`` labelled texts of the least hashed keys."""
-    rows = df.select(F.xxhash64(key).alias("h"), F.col(key).alias("k"), F.col(text).alias("t"), normal_label(label).alias("l"))
-    rows = rows.where(not_blank("t") & F.col("l").isin(*LANGUAGES)).orderBy("h", "k", "t", "l").limit(sample)
-    return train([(r.t, r.l) for r in rows.collect()])
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), normal_label(label).alias("l"))
+    rows = rows.where(not_blank("t") & F.col("l").isin(*LANGUAGES))
+    return train([(r.t, r.l) for r in least_hashed(rows, df.count(), sample)])
 
 
 def _segments(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packloom.functions.session import delete, settle, ship
+from packloom.llm.sample import least_hashed
 
 KEEP = 20
 """Neighbours kept for each vector during the search; the answer is the best of them."""
@@ -149,7 +150,7 @@ def graph(nodes: DataFrame, size: int, keep: int = KEEP) -> DataFrame:
     spark = nodes.sparkSession
     n = nodes.count()
     count = int(min(PIVOTS, max(1, n // (BLOCK // 4))))
-    chosen = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(count).collect()
+    chosen = least_hashed(nodes.select(F.col("node").alias("k"), "q"), n, count)
     if not chosen:
         return nodes.select("node", F.col("node").alias("other"), F.lit(0.0).cast("float").alias("sim"), F.lit(0).alias("rank")).limit(0)
     pivots = spark.sparkContext.broadcast(_byte_units(pa.chunked_array([pa.array([r.q for r in chosen], pa.binary())]), size))

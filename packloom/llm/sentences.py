@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from packloom.functions.session import ship
 from packloom.functions.text import not_blank
 from packloom.llm import chars
+from packloom.llm.sample import least_hashed
 
 SAMPLE = 6000
 """Texts that the classifier is trained on, those of the least hashed keys; it is then applied to every text."""
@@ -352,8 +353,8 @@ def train(texts: list[str]) -> Model:
 
 def fitted(df: DataFrame, key: str, text: str = "text", sample: int = SAMPLE) -> Model:
     """A model trained on the ``sample`` texts of the least hashed keys."""
-    rows = df.where(not_blank(text)).select(F.xxhash64(key).alias("h"), F.col(key).alias("k"), F.col(text).alias("t"))
-    return train([r.t for r in rows.orderBy("h", "k", "t").limit(sample).collect()])
+    rows = df.where(not_blank(text)).select(F.col(key).alias("k"), F.col(text).alias("t"))
+    return train([r.t for r in least_hashed(rows, df.count(), sample)])
 
 
 def _split(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
