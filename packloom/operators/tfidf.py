@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packloom.functions import stopwords
+from packloom.functions.session import settle
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -69,9 +70,9 @@ def fit(rows: DataFrame, key: str = "doc_id", text: str = "text", max_features:
     """
     if max_features < 1:
         raise ValueError("max_features must be at least 1")
-    counts = _counts(rows, key, text, "chunk_index", ngrams, stop)
+    counts, _ = settle(_counts(rows, key, text, "chunk_index", ngrams, stop))  # else each use below reads the texts anew
     n = rows.count()
-    words = vocabulary(counts, n, max_features)
+    words, _ = settle(vocabulary(counts, n, max_features))
     if not words.limit(1).count():
         raise ValueError("empty vocabulary")
     return Fitted(words, _weights(counts, words, "chunk_index"), ngrams, stop)
