@@ -42,6 +42,15 @@ def test_near_duplicates_equal_brute_force(spark):
     assert neardup.similar_pairs(clashing.select("tab", "k", "t", "a", "cls")).count() == len(got)
 
 
+def test_near_duplicates_just_above_the_threshold(spark):
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    texts = [same + letters(42) for same in (letters(204) for _ in range(400)) for _ in range(2)]  # 200 of 284 substrings are shared
+    want = {(i, i + 1) for i in range(0, 800, 2) if _brute(texts[i : i + 2], 0.7)}
+    got = {(r.id_a, r.id_b) for r in neardup.similar_pairs(_rows(spark, texts)).collect()}
+    assert len(want) > 390 and got == want
+
+
 def test_near_duplicates_keep_tables_apart_and_take_hot_texts(spark):
     same = ["one two three four five six seven"] * 300 + ["One two three four five six seven"]
     rows = _rows(spark, same).union(_rows(spark, same[-1:], "u"))
