@@ -1,28 +1,27 @@
 """Problem 9: keyword-stuffed and link-list pages.
 
 Method: a hidden Markov model over a page's lines with the states prose, link list, tag list and menu. Lines are
-observed as four graded features; the model is fitted by expectation maximisation from plain starting values on a
-bounded sample of pages. A page is flagged when most of its characters stand in lines that aren't prose.
+observed as four graded features; the model is fitted by expectation maximisation from plain starting values on all
+pages, of which Spark sums the counts. A page is flagged when most of its characters stand in lines that aren't prose.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packloom.functions.session import ship
+from packloom.functions.session import delete, settle, ship
 from packloom.functions.text import not_blank
-from packloom.llm.sample import least_hashed
 
 STATES = ("prose", "link list", "tag list", "menu")
-SAMPLE = 3000
-"""Pages that the model is fitted on, those of the least hashed keys; every page is then labelled by it."""
+WEIGHT = 3000
+"""Expected counts of more pages than this weigh as those of so many, so the prior's share is the same for any table."""
 LEXICON = 50_000
 PASSES, ROUNDS = 3, 3
 PRIOR = 2000.0
@@ -53,9 +52,27 @@ def _tokens(line: str) -> list[str]:
 
 def observe(text: str, lexicon: dict[str, float] | None) -> tuple[list[str], list[tuple[int, int, int, int]]]:
     """The page's lines that aren't blank, and the grades of each."""
+    lines, bare, words = _parts(text)
+    return lines, [(*g, w) for g, w in zip(_shapes(bare, words), _word_grades(words, lexicon), strict=True)]
+
+
+def _parts(text: str) -> tuple[list[str], list[str], list[list[str]]]:
+    """The lines that aren't blank, the same without the mark of a list item, which says nothing, and their words."""
     lines = [x for line in text.split("\n") if (x := line.strip())]
-    bare = [ITEM.sub("", x) or x for x in lines]  # the mark of a list item says nothing
-    words = [_tokens(x) for x in bare]
+    bare = [ITEM.sub("", x) or x for x in lines]
+    return lines, bare, [_tokens(x) for x in bare]
+
+
+def _word_grades(words: list[list[str]], lexicon: dict[str, float] | None) -> list[int]:
+    out = []
+    for own in words:
+        known = [lexicon[w] for w in own if w in lexicon] if lexicon else []
+        out.append(_grade(sum(known) / max(len(known), 3), WORDS))
+    return out
+
+
+def _shapes(bare: list[str], words: list[list[str]]) -> list[tuple[int, int, int]]:
+    """The grades of the features that need no word scores."""
     out = []
     for i, (line, own) in enumerate(zip(bare, words, strict=True)):
         link = sum(len(m) for m in URL.findall(line)) / len(line) if "/" in line or "www." in line or "<a" in line else 0.0
@@ -65,13 +82,19 @@ def observe(text: str, lexicon: dict[str, float] | None) -> tuple[list[str], lis
         while len(near) < 25 and (j > max(0, i - 3) or k < min(len(words), i + 4)):  # short lines are judged with those around them
             j, k = max(j - 1, 0, i - 3), min(k + 1, len(words), i + 4)
             near = [w for x in words[j:k] for w in x]
-        even = _repetition(near)
-        score = 0.0
-        if lexicon and own:
-            known = [lexicon[w] for w in own if w in lexicon]
-            score = sum(known) / max(len(known), 3)
-        out.append((_grade(link, LINK), _grade(marks / max(len(raw), 6), MARKS), _grade(even, REPEAT), _grade(score, WORDS)))
-    return lines, out
+        out.append((_grade(link, LINK), _grade(marks / max(len(raw), 6), MARKS), _grade(_repetition(near), REPEAT)))
+    return out
+
+
+def _coded(shapes: bytes, words: list[int]) -> bytes:
+    """The grades of each line as two bytes; ``shapes`` has a byte for each line."""
+    return (np.frombuffer(shapes, np.uint8) + 60 * np.array(words, "<u2")).astype("<u2").tobytes()
+
+
+def _decoded(codes: bytes) -> np.ndarray:
+    """Two bytes for each line -> (lines, 4 grades)."""
+    c = np.frombuffer(codes, "<u2").astype(np.int64)
+    return np.stack([c % 3, c // 3 % 4, c // 12 % 5, c // 60], axis=1)
 
 
 def _has_digit(t: str) -> bool:
@@ -124,58 +147,133 @@ class Model:
     def fit(self, texts: list[str]) -> Model:
         """Expectation maximisation on whole pages; the starting values weigh in as earlier counts."""
         for _ in range(PASSES):  # each pass scores words by the lines that the model before it labels
-            self._score(texts)
-            graded = [np.array(observe(t, self.lexicon)[1], np.int64) for t in texts]
-            self._maximise([g for g in graded if len(g)])
+            counts = [Counter(), Counter()]
+            for text in texts:
+                self.count(counts, *observe(text, self.lexicon))
+            seen = counts[0] + counts[1]
+            best = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]
+            self.score([(w, counts[0][w], counts[1][w]) for w, n in best if n >= 5], [sum(c.values()) for c in counts])
+            graded = [(np.array(g, np.int64), 1.0) for t in texts if (g := observe(t, self.lexicon)[1])]
+            for _ in range(ROUNDS):
+                self.maximise(self.expected(graded))
         return self
 
-    def _score(self, texts: list[str]) -> None:
-        counts = [Counter(), Counter()]
-        for text in texts:
-            lines, grades = observe(text, self.lexicon)
-            for line, g, s in zip(lines, grades, self.path(grades) if lines else [], strict=True):
-                if not self.lexicon and s and max(g[0] >= 2, g[1] >= 2, g[2] >= 4) == 0:
-                    continue  # without word scores, repetition that prose may have too decides nothing
-                counts[s > 0].update(w for w in _tokens(line) if not _has_digit(w))
-        total = [sum(c.values()) + 1.0 for c in counts]
-        seen = counts[0] + counts[1]
-        self.lexicon = {
-            w: float(np.clip(np.log((counts[1][w] + 0.5) / total[1]) - np.log((counts[0][w] + 0.5) / total[0]), -3, 3))
-            for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LEXICON] if n >= 5
-        }
-
-    def _maximise(self, graded: list[np.ndarray]) -> None:
+    def count(self, counts: list[Counter], lines: list[str], grades: list[tuple[int, int, int, int]]) -> None:
+        """Add a page's words to those of prose, ``counts[0]``, and of other lines."""
+        for line, g, s in zip(lines, grades, self.path(grades) if lines else [], strict=True):
+            if not self.lexicon and s and max(g[0] >= 2, g[1] >= 2, g[2] >= 4) == 0:
+                continue  # without word scores, repetition that prose may have too decides nothing
+            counts[s > 0].update(w for w in _tokens(line) if not _has_digit(w))
+
+    def score(self, words: list[tuple[str, int, int]], total: list[int]) -> None:
+        """Word scores from (word, times in prose, times elsewhere) and the sums of both over all words."""
+        a, b = (n + 1.0 for n in total)
+        self.lexicon = {w: float(np.clip(np.log((other + 0.5) / b) - np.log((prose + 0.5) / a), -3, 3)) for w, prose, other in words}
+
+    def expected(self, graded: Iterable[tuple[np.ndarray, float]]) -> np.ndarray:
+        """Expected counts of starts, moves and grades in pages (grades, how often), one after the other."""
+        first, move, emit = np.zeros(4), np.zeros((4, 4)), [np.zeros_like(e) for e in self.emit]
+        for g, n in graded:
+            d = self.densities(g)
+            a, b = np.empty_like(d), np.ones_like(d)
+            a[0] = self.first * d[0]
+            a[0] /= a[0].sum()
+            for t in range(1, len(d)):
+                a[t] = (a[t - 1] @ self.move) * d[t]
+                a[t] /= a[t].sum()
+            for t in range(len(d) - 2, -1, -1):
+                b[t] = self.move @ (d[t + 1] * b[t + 1])
+                b[t] /= b[t].sum()
+            post = a * b
+            post *= n / post.sum(axis=1, keepdims=True)
+            first += post[0]
+            if len(d) > 1:
+                x = a[:-1, :, None] * self.move * (d[1:] * b[1:])[:, None, :]
+                move += n * (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            for f in range(4):
+                np.add.at(emit[f].T, g[:, f], post)
+        return np.concatenate([first, move.ravel(), *(e.ravel() for e in emit)])
+
+    def maximise(self, counts: np.ndarray) -> None:
+        """Set the probabilities from expected counts and the prior's."""
         start = Model()
-        prior = [PRIOR * e for e in start.emit]
+        parts = np.split(counts, np.cumsum([4, 16, *(e.size for e in self.emit)])[:-1])
+        first, move = parts[0] + 1 + 20 * start.first, parts[1].reshape(4, 4) + 1 + 50 * start.move
+        emit = [p.reshape(e.shape) + PRIOR * e for p, e in zip(parts[2:], start.emit, strict=True)]
+        self.first, self.move = first / first.sum(), move / move.sum(axis=1, keepdims=True)
+        self.emit = [e / e.sum(axis=1, keepdims=True) for e in emit]
+
+
+def _shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(t) -> (t, shapes), a byte for each line."""
+    for batch in batches:
+        shapes = []
+        for text in batch.column(0).to_pylist():
+            _, bare, words = _parts(text)
+            shapes.append(bytes(a + 3 * b + 12 * c for a, b, c in _shapes(bare, words)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shapes, pa.binary())], ["t", "shapes"])
+
+
+def _graded(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """(t, shapes) -> (codes), with the grades of the words."""
+    for batch in batches:
+        codes = [_coded(shapes, _word_grades(_parts(t)[2], model.lexicon)) for t, shapes in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], ["codes"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """(t, shapes) -> (w, prose, other), sums over many pages."""
+    counts = [Counter(), Counter()]
+
+    def out() -> pa.RecordBatch:
+        words = list(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in counts)]
+        return pa.RecordBatch.from_arrays(columns, ["w", "prose", "other"])
+
+    for batch in batches:
+        for text, shapes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            lines, _, words = _parts(text)
+            model.count(counts, lines, _decoded(_coded(shapes, _word_grades(words, model.lexicon))).tolist())
+        if len(counts[0]) + len(counts[1]) > 200_000:
+            yield out()
+            counts[0].clear(), counts[1].clear()
+    yield out()
+
+
+def _expected(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """(codes, n) -> (i, x), the expected counts of all batches by their place."""
+    x = model.expected((_decoded(c), float(n)) for b in batches for c, n in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    yield pa.RecordBatch.from_arrays([pa.array(range(len(x)), pa.int32()), pa.array(x)], ["i", "x"])
+
+
+def fitted(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
+    """A model fitted on all pages: the driver gets sums, at most ``LEXICON`` words and a place for each probability.
+
+    Pages of the same grades, line by line, count as one page so many times.
+    """
+    spark = documents.sparkSession
+    ship(spark)
+    rows = documents.where(F.col(key).isNotNull() & not_blank(text)).select(F.col(text).alias("t"))
+    shaped, path = settle(rows.mapInArrow(_shaped, "t string, shapes binary"))
+    model, scale = Model(), min(1.0, WEIGHT / max(shaped.count(), 1))
+    for _ in range(PASSES):
+        sent = spark.sparkContext.broadcast(model)
+        words = shaped.mapInArrow(lambda it, sent=sent: _counted(it, sent.value), "w string, prose long, other long")
+        words, held = settle(words.groupBy("w").agg(F.sum("prose").alias("prose"), F.sum("other").alias("other")))
+        total = words.agg(F.coalesce(F.sum("prose"), F.lit(0)), F.coalesce(F.sum("other"), F.lit(0))).first()
+        n = F.col("prose") + F.col("other")
+        model.score([tuple(r) for r in words.where(n >= 5).orderBy(n.desc(), "w").limit(LEXICON).collect()], list(total))
+        delete(spark, held)
+        sent = spark.sparkContext.broadcast(model)
+        codes, held = settle(shaped.mapInArrow(lambda it, sent=sent: _graded(it, sent.value), "codes binary").where("length(codes) > 0").groupBy("codes").count())
         for _ in range(ROUNDS):
-            first, move, emit = np.ones(4) + 20 * start.first, np.ones((4, 4)) + 50 * start.move, [p.copy() for p in prior]
-            for g in graded:
-                d = self.densities(g)
-                a, b = np.empty_like(d), np.ones_like(d)
-                a[0] = self.first * d[0]
-                a[0] /= a[0].sum()
-                for t in range(1, len(d)):
-                    a[t] = (a[t - 1] @ self.move) * d[t]
-                    a[t] /= a[t].sum()
-                for t in range(len(d) - 2, -1, -1):
-                    b[t] = self.move @ (d[t + 1] * b[t + 1])
-                    b[t] /= b[t].sum()
-                post = a * b
-                post /= post.sum(axis=1, keepdims=True)
-                first += post[0]
-                if len(d) > 1:
-                    x = a[:-1, :, None] * self.move * (d[1:] * b[1:])[:, None, :]
-                    move += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-                for f in range(4):
-                    np.add.at(emit[f].T, g[:, f], post)
-            self.first, self.move = first / first.sum(), move / move.sum(axis=1, keepdims=True)
-            self.emit = [e / e.sum(axis=1, keepdims=True) for e in emit]
-
-
-def fitted(documents: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
-    """A model fitted on the ``sample`` pages of the least hashed keys."""
-    rows = documents.where(not_blank(text)).select(F.col(key).alias("k"), F.col(text).alias("t"))
-    return Model().fit([r.t for r in least_hashed(rows, documents.count(), sample)])
+            sent = spark.sparkContext.broadcast(model)
+            sums = codes.mapInArrow(lambda it, sent=sent: _expected(it, sent.value), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+            if sums:
+                model.maximise(scale * np.array([r.x for r in sorted(sums)]))
+        delete(spark, held)
+    delete(spark, path)
+    return model
 
 
 def _pages(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

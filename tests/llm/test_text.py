@@ -158,3 +158,19 @@ def test_spam_pages(spark):
     labels = {r.label for r in spam.label_lines(_docs(spark, links[:1] + tags[:1]), m, "id").collect()}
     assert labels <= {"link list", "tag list"}
     assert spam.pages(_docs(spark, texts).limit(0), m, "id").count() == 0
+
+
+def test_spam_words_are_counted_on_all_pages(spark):
+    texts = [f"The harbour log was read twice and rare{chr(97 + i % 20)} was kept." if i < 100 else "The old kiln log was read." for i in range(6000)]
+    lexicon = spam.fitted(_docs(spark, texts, "1 as x"), "id").lexicon
+    assert {f"rare{chr(97 + i)}" for i in range(20)} <= lexicon.keys()
+
+
+def test_spam_model_of_a_table_equals_that_of_its_texts(spark):
+    prose = [f"The harbour log of place{i % 9} was read twice, and a colleague kept the old notes.\nNobody asked why the kiln was cold." for i in range(60)]
+    stuffed = ["buy cheap model index best free " * (4 + i % 3) for i in range(20)]
+    tags = ["\n".join(f"#tag{j} | #cheap | free" for j in range(8 + i)) for i in range(20)]
+    texts = [*prose, *stuffed, *tags, " ".join(stuffed[:2]) + "\n" + prose[0], "a | b\nhttps://a.test/x\n" * 5]
+    want, got = spam.Model().fit(texts), spam.fitted(_docs(spark, texts, "1 as x"), "id")
+    assert got.lexicon.keys() == want.lexicon.keys() and max(abs(got.lexicon[w] - want.lexicon[w]) for w in want.lexicon) < 1e-9
+    assert abs(got.move - want.move).max() < 1e-9 and max(abs(a - b).max() for a, b in zip(got.emit, want.emit, strict=True)) < 1e-9
