@@ -149,8 +149,8 @@ class Model:
         z -= z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True)), n
 
-    def segments(self, texts: list[str]) -> list[list[tuple[int, int, int, float, int]]]:
-        """For each text its segments of one language: (begin, end, language number or -1, confidence, letters)."""
+    def segments(self, texts: list[str]) -> list[list[tuple[int, int, int, float, int, bool]]]:
+        """For each text its segments of one language: (begin, end, language number, confidence, letters, whether doubtful)."""
         spans = [units(t) for t in texts]
         if not any(spans):
             return [[] for _ in texts]
@@ -170,13 +170,13 @@ class Model:
             found: list[list] = []
             for (a, b), language, row, letters_here in zip(s, path, lp, count.tolist(), strict=True):
                 doubtful = letters_here >= DOUBT and np.exp(row[language]) < self.least
-                if found and found[-1][2] == (-1 if doubtful else language):
+                if found and found[-1][2] == language and found[-1][5] == doubtful:
                     found[-1][1] = b
                     found[-1][3] += row * letters_here
                     found[-1][4] += letters_here
                 else:
-                    found.append([a, b, -1 if doubtful else language, row * letters_here, letters_here])
-            out.append([(a, b, k, float(_share(v / max(m, 1), k)), m) for a, b, k, v, m in found])
+                    found.append([a, b, language, row * letters_here, letters_here, doubtful])
+            out.append([(a, b, k, float(_share(v / max(m, 1), k)), m, bool(d)) for a, b, k, v, m, d in found])
         return out
 
     @staticmethod
@@ -194,7 +194,7 @@ class Model:
 
 def _share(mean_log: np.ndarray, k: int) -> float:
     p = np.exp(mean_log - mean_log.max())
-    return (p[k] if k >= 0 else p.max()) / p.sum()
+    return p[k] / p.sum()
 
 
 def _descend(grams: list[np.ndarray], labels: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -282,38 +282,38 @@ def fitted(df: DataFrame, key: str, text: str = "text", label: str = "lang", sam
 
 
 def _segments(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    names = ["k", "label", "start_char", "end_char", "lang", "confidence", "letters"]
+    names = ["k", "label", "start_char", "end_char", "lang", "confidence", "letters", "best"]
     for batch in batches:
         for cut in range(0, batch.num_rows, 200):  # bounds the arrays of a batch of long texts
             part = batch.slice(cut, 200)
             rows = []
             for i, found in enumerate(model.segments(part.column(1).to_pylist())):
-                rows += [(i, a, b, LANGUAGES[k] if k >= 0 and p >= model.least else "und", p, n) for a, b, k, p, n in found]
-            at, a, b, k, p, n = zip(*rows, strict=True) if rows else ((), (), (), (), (), ())
+                rows += [(i, a, b, "und" if doubtful or p < model.least else LANGUAGES[k], p, n, LANGUAGES[k]) for a, b, k, p, n, doubtful in found]
+            at, a, b, k, p, n, best = zip(*rows, strict=True) if rows else ((), (), (), (), (), (), ())
             at = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(k, pa.string()), pa.array(p, pa.float64()), pa.array(n, pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(k, pa.string()), pa.array(p, pa.float64()), pa.array(n, pa.int64()), pa.array(best, pa.string())], names)
 
 
 def segments(df: DataFrame, model: Model, key: str, text: str = "text", label: str = "lang") -> DataFrame:
-    """The segments of one language of each text: (``key``, ``label``, ``start_char``, ``end_char``, ``lang``, ``confidence``, ``letters``).
+    """The segments of one language of each text: (``key``, ``label``, ``start_char``, ``end_char``, ``lang``, ``confidence``, ``letters``, ``best``).
 
-    ``label`` is the declared label as a code, null if useless. ``lang`` is ``und`` below the model's least
-    confidence. Null and blank texts and texts without letters have no segments. Very long texts are taken whole;
+    ``label`` is the declared label as a code, null if useless. ``best`` is the likeliest language; ``lang`` is the same,
+    but ``und`` below the model's least confidence. Null and blank texts and texts without letters have no segments. Very long texts are taken whole;
     repeated rows each give their segments; an empty table gives none; other columns are not read.
     """
     ship(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
     rows = df.where(F.col(key).isNotNull() & not_blank(text)).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), normal_label(label).alias("label"))
-    schema = "k long, label string, start_char long, end_char long, lang string, confidence double, letters long"
+    schema = "k long, label string, start_char long, end_char long, lang string, confidence double, letters long, best string"
     return rows.mapInArrow(lambda it: _segments(it, sent.value), schema).withColumnRenamed("k", key)
 
 
 def mislabelled(found: DataFrame, key: str) -> DataFrame:
     """(``key``, ``lang``) of the texts of ``segments`` whose label is missing, useless or not their main language, or that mix languages.
 
-    A row per language in the text. Of languages with equally much text the first by name is the main one.
+    A row per language in the text. Segments below the least confidence count as their likeliest language. Of languages with equally much text the first by name is the main one.
     """
-    each = found.where("lang <> 'und'").groupBy(key, "lang").agg(F.sum("letters").alias("n"), F.max("label").alias("label"))
+    each = found.withColumn("lang", F.col("best")).groupBy(key, "lang").agg(F.sum("letters").alias("n"), F.max("label").alias("label"))
     each, _ = settle(each)  # else both uses of it run the model
     main = each.groupBy(key).agg(F.max_by("lang", F.struct("n", -F.ascii("lang"), -F.ascii(F.substring("lang", 2, 1)))).alias("main"), F.count("*").alias("languages"), F.max("label").alias("label"))
     wrong = main.where("label is null or label <> main or languages > 1").select(key)

@@ -137,6 +137,16 @@ def test_language(spark):
     assert language.segments(df.limit(0), m, "id").count() == 0
 
 
+def test_rejected_segments_keep_their_likeliest_language(spark):
+    en, ru = "The old kiln log was copied by hand before lunch and read twice. ", "Старый журнал печи переписали вручную до обеда и прочли дважды. "
+    m = language.train([(en * 3, "en"), (ru * 3, "ru")] * 40)
+    strict = language.Model(m.table, m.temperature, 1.01)  # rejects all
+    df = spark.createDataFrame([(1, ru, None), (2, en, "ru"), (3, ru, "ru"), (4, en * 4 + "\n\n" + ru * 4, "en")], "id long, text string, lang string")
+    found = language.segments(df, strict, "id")
+    assert {r.lang for r in found.collect()} == {"und"}
+    assert {(r.id, r.lang) for r in language.mislabelled(found, "id").collect()} == {(1, "ru"), (2, "en"), (4, "en"), (4, "ru")}
+
+
 def test_labels(spark):
     df = spark.createDataFrame([("EN",), ("en-US",), ("German",), ("zh_Hans",), ("xx",), ("",), (None,), ("it",), (" fra ",)], "lang string")
     assert [r[0] for r in df.select(language.normal_label("lang")).collect()] == ["en", "en", "de", "zh", None, None, None, "other", "fr"]
