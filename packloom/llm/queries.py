@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packloom.functions.session import settle, ship
+from packloom.functions.session import ship
 from packloom.functions.text import SPACES
 from packloom.llm import language, leak, mix, neardup, neighbours, sentences, spam, split, unify
 
@@ -52,13 +52,9 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_search(spark: SparkSession, d: str) -> DataFrame:
     """Greedy search for every vector whose id is divisible by 50, against all vectors."""
-    rows, _ = settle(neighbours.prepared(_read(spark, d, "chunk_vectors"), "vec_id", "embedding", 384).select(F.col("id").alias("node"), "q"))
-    edges, _ = settle(neighbours.graph(rows, 384))
-    asked = rows.where("node % 50 = 0").select(F.col("node").alias("query"), "q")
-    found = neighbours.search(edges, rows, asked, 384, 11).where("query <> node")
-    order = Window.partitionBy("query").orderBy("rank")
-    found = found.withColumn("rank", F.row_number().over(order)).where("rank <= 10")
-    return found.select(F.col("query").alias("vec_id"), F.col("node").alias("neighbour_id"), "sim", "rank")
+    vectors = _read(spark, d, "chunk_vectors")
+    found = neighbours.search(vectors, vectors.where("vec_id % 50 = 0"))
+    return found.select(F.col("id").alias("vec_id"), F.col("other").alias("neighbour_id"), "cosine", "rank")
 
 
 def p3_segments(spark: SparkSession, d: str) -> DataFrame:
