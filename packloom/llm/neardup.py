@@ -12,20 +12,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packloom.functions.session import delete, settle, ship
 from packloom.functions.text import not_blank
 from packloom.llm.classes import components, spelled_pairs
+from packloom.llm.groups import groups_of, whole_groups
 
 WIDTH = 5
-BANDS, ROWS = 64, 6
+BANDS, ROWS = 46, 5
 MINIMA = BANDS * ROWS
-"""Each band has 6 minima of its own. A pair at similarity 0.7 shares a band with probability 1 - (1 - 0.7 ** 6) ** 64 = 0.9997."""
+"""Each band has 5 minima of its own. A pair at similarity 0.7 shares a band with probability 1 - (1 - 0.7 ** 5) ** 46 = 0.9998."""
 SIGNATURE, AGREE = 64, 30
 """Four bits of 64 minima are compared. At similarity 0.7 some 46 agree, fewer than 30 with a probability under 0.0001."""
 WORDS = ("s0", "s1", "s2", "s3")
+HELD = 1 << 16
+"""Classes whose keys are packed together, in which a class is named by two bytes."""
+KEYS = 1 << 20
+"""About how many keys the tasks that look for repeated ones take at once; there are as many parts of keys as that needs."""
+BUCKET = 256
+"""Classes with one key that are compared as one group; larger buckets are compared block by block, in as many groups."""
 BLANKS = re.compile("[ \t\r\n]+")
 
 
@@ -80,45 +87,122 @@ def _class(tab: str, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{tab}\0{text}".encode("utf-8", "surrogatepass")) - 2**63
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tab, k, t) -> (tab, k, cls, raw, minima, signature, once): 8 bits of each minimum, 4 of some; once: a partition's first of a class."""
-    minima, seen = Minima(MINIMA), set()
-    for batch in batches:
-        cls, raw, least, sketch, once = [], [], [], [], []
-        for tab, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            low = normal(text)
-            c = _class(tab, low)
-            cls.append(c)
-            raw.append(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63)
-            m = minima(shingles(low))
-            half = (m[:SIGNATURE] & np.uint32(15)).astype(np.uint8)
-            sketch.append(half[::2] << 4 | half[1::2])
-            once.append(c not in seen and len(low) >= WIDTH)
-            least.append(m.astype(np.uint8).tobytes() if once[-1] else None)
-            seen.add(c)
-        words = np.stack(sketch).view(np.int64).T if sketch else np.zeros((4, 0), np.int64)
-        arrays = [batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.int64()), pa.array(least, pa.binary()), *map(pa.array, words), pa.array(once, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(arrays, ["tab", "k", "cls", "raw", "minima", *WORDS, "once"])
+class Packed:
+    """Keys of one task's classes, until there are enough to pack."""
+
+    def __init__(self, bits: int) -> None:
+        self.bits, self.keys, self.name = bits, [], 0
+
+    def rows(self) -> list[tuple[int, int, int, bytes]]:
+        """(part, block, number, blob) for each part: the sorted keys' differences, a plane for each byte, and their classes' places."""
+        keys = np.concatenate(self.keys)
+        order = np.argsort(keys)
+        keys, place = keys[order], (order // BANDS).astype(np.uint16)
+        part = (keys >> np.uint64(63 - self.bits)).astype(np.int64) >> 1
+        low = keys >> np.uint64(24 - self.bits) & np.uint64(2**40 - 1)
+        edges = np.searchsorted(part, np.arange(2**self.bits + 1))
+        out = []
+        for p in np.flatnonzero(np.diff(edges)).tolist():
+            a, b = edges[p], edges[p + 1]
+            steps = np.diff(low[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :5]
+            planes = place[a:b].view(np.uint8).reshape(-1, 2)
+            out.append((p, self.name, int(b - a), np.ascontiguousarray(np.hstack([steps, planes]).T).tobytes()))
+        self.keys = []
+        return out
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, minima, tab) -> (key, cls), a row for each band; keys of different tables differ."""
-    odd = _mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-    place = _mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
-    for batch in batches:
-        if batch.num_rows:
-            least = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, BANDS, ROWS).astype(np.uint64)
-            tab = np.array([xxhash.xxh3_64_intdigest(t) for t in batch.column(2).to_pylist()], np.uint64)
-            keys = _mix((least * odd).sum(axis=2, dtype=np.uint64) + place + tab[:, None]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "cls"])
+def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(blob, np.uint8).reshape(7, n)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :5] = planes[:5].T
+    return np.cumsum(steps.view(np.uint64).ravel()), np.ascontiguousarray(planes[5:].T).view(np.uint16).ravel()
+
+
+FIELDS = "tab string, k long, cls long, raw long, " + ", ".join(f"{w} long" for w in WORDS) + ", block long, place int, part long, n int, blob binary"
 
 
-def _agreeing(a: str, b: str) -> Column:
-    """In how many four-bit places two 64-bit numbers agree."""
-    x = F.col(a).bitwiseXOR(F.col(b))
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-    return 16 - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+def _signatures(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """(tab, k, t) -> rows of ``FIELDS``: for each text its class and spelling; for a partition's first of a class also its signature and place in a block; and the blocks' keys.
+
+    The first 2 ** bits parts of the keys' range are told apart, and 40 more bits of each key.
+    """
+    minima, seen, packed = Minima(MINIMA), set(), Packed(bits)
+    odd = _mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+    salt = _mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
+    schema = pa.schema([(c.split()[0], {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[c.split()[1]]) for c in FIELDS.split(", ")])
+    blank = [None] * 9
+    for batch in batches:
+        rows = []
+        for tab, k, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            low = normal(text)
+            c, raw = _class(tab, low), xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
+            if c in seen or len(low) < WIDTH:
+                rows.append((tab, k, c, raw, *blank))
+                continue
+            seen.add(c)
+            m = minima(shingles(low))
+            half = (m[:SIGNATURE] & np.uint32(15)).astype(np.uint8)
+            words = (half[::2] << 4 | half[1::2]).view(np.int64).tolist()
+            if not packed.keys:
+                packed.name = c  # a class begins one block only
+            key = _mix((m.reshape(BANDS, ROWS).astype(np.uint64) * odd).sum(axis=1, dtype=np.uint64) + salt + np.uint64(xxhash.xxh3_64_intdigest(tab)))
+            packed.keys.append(key)
+            rows.append((tab, k, c, raw, *words, packed.name, len(packed.keys) - 1, None, None, None))
+            if len(packed.keys) == HELD:
+                rows += [(*[None] * 8, name, None, p, n, blob) for p, name, n, blob in packed.rows()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    if packed.keys:
+        rows = [(*[None] * 8, name, None, p, n, blob) for p, name, n, blob in packed.rows()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, block, n, blob) sorted by part -> (key, block, place) of the keys that come more than once."""
+    for table in groups_of(batches):
+        part = table.column("part")[0].as_py()
+        blocks = table.column("block").to_numpy()
+        each = [_unpacked(blob, n) for blob, n in zip(table.column("blob").to_pylist(), table.column("n").to_pylist(), strict=True)]
+        keys, place = (np.concatenate([x[i] for x in each]) for i in (0, 1))
+        block = np.repeat(blocks, [len(x[0]) for x in each])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        same = keys[1:] == keys[:-1]
+        again = np.append(False, same) | np.append(same, False)
+        order = order[again]
+        yield pa.RecordBatch.from_arrays([pa.array((keys[again] | np.uint64(part << 40)).view(np.int64)), pa.array(block[order]), pa.array(place[order].astype(np.int32))], ["key", "block", "place"])
+
+
+def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many of their four-bit places rows of 64-bit numbers agree."""
+    x = a ^ b
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    return SIGNATURE - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, cls, side, words) sorted by bucket -> (a, b) of the classes in it whose signatures agree enough.
+
+    Members of sides 1 and 2 are compared across, those of side 0 all with each other.
+    """
+    for table in whole_groups(batches):
+        bucket, cls, side = (table.column(c).to_numpy() for c in ("bucket", "cls", "side"))
+        words = np.stack([table.column(w).to_numpy() for w in WORDS], axis=1).view(np.uint64)
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        after = np.repeat(np.append(first[1:], len(bucket)), np.diff(np.append(first, len(bucket))))
+        at, step, found = np.arange(len(bucket)), 0, []
+        while True:  # each row with the one so many rows on
+            step += 1
+            at = at[at + step < after[at]]
+            if not len(at):
+                break
+            to = at + step
+            good = (cls[at] != cls[to]) & ((side[at] == 0) | (side[at] != side[to])) & (_agreeing(words[at], words[to]) >= AGREE)
+            found.append(np.stack([cls[at[good]], cls[to[good]]]))
+        if found:
+            pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -142,24 +226,33 @@ def class_links(rows: DataFrame, least: float = 0.7) -> tuple[DataFrame, DataFra
 
     ``rows`` has ``tab`` (texts of different tables are never compared), ``k`` and ``t``. Gives the links (``a`` <
     ``b``, ``similarity``) and the members (``tab``, ``k``, ``cls``, ``raw``). Texts of fewer than five characters
-    have no substrings and no links. A hot text is one class; a band's classes are counted before they are joined.
+    have no substrings and no links. A hot text is one class. Keys are packed by the thousand, sorted, and only those that
+    come again are taken apart; a bucket of many classes is compared block by block, in groups of bounded size.
     """
-    ship(rows.sparkSession)
+    spark = rows.sparkSession
+    ship(spark)
+    bits = max(0, int(np.ceil(np.log2(max(rows.count(), 1) * BANDS / KEYS))))
     rows = rows.where("k is not null and t is not null").select(F.col("tab").cast("string"), F.col("k").cast("long"), "t")
     rows = rows.where(not_blank("t"))
-    wide, path = settle(rows.select("tab", "k", "t").mapInArrow(_signatures, "tab string, k long, cls long, raw long, minima binary, " + ", ".join(f"{w} long" for w in WORDS) + ", once boolean"))
-    keyed = wide.where("once").select("cls", "minima", "tab").mapInArrow(_bands, "key long, cls long").repartition(F.col("key"))
-    lowest, highest = F.expr("min(cls) over (partition by key)"), F.expr("max(cls) over (partition by key)")
-    shared = keyed.withColumns({"lo": lowest, "hi": highest}).where("lo < hi").select("key", "cls").dropDuplicates()
-    signatures = wide.where("once").groupBy("cls").agg(*[F.min(w).alias(w) for w in WORDS])
-    shared, held = settle(shared.join(signatures, "cls"))
-    members, _ = settle(wide.select("tab", "k", "cls", "raw"))
-    delete(rows.sparkSession, path)
-    others = shared.select("key", F.col("cls").alias("b"), *[F.col(w).alias(f"t{w}") for w in WORDS])
-    agree = sum((_agreeing(w, f"t{w}") for w in WORDS), F.lit(0))
-    likely = shared.join(others, "key").where((F.col("cls") < F.col("b")) & (agree >= AGREE)).select(F.col("cls").alias("a"), "b").distinct()
+    wide, path = settle(rows.select("tab", "k", "t").mapInArrow(lambda it: _signatures(it, bits), FIELDS))
+    packed = wide.where("part is not null").select("part", "block", "n", "blob")
+    again, held = settle(packed.repartition("part").sortWithinPartitions("part").mapInArrow(_repeated, "key long, block long, place int"))
+    members, _ = settle(wide.where("part is null").select("tab", "k", "cls", "raw"))
+    signatures, signed = settle(wide.where("place is not null").select("block", "place", "cls", *WORDS))
+    delete(spark, path)
+    named = again.join(signatures.select("block", "place", "cls"), ["block", "place"]).select("key", "cls")
+    sizes = named.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("key", F.ceil(F.col("m") / BUCKET).alias("blocks"))
+    shared, kept = settle(named.join(sizes, "key").dropDuplicates(["key", "cls"]))
+    delete(spark, held)
+    shared = shared.join(signatures.drop("block", "place").dropDuplicates(["cls"]), "cls")
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks"))
+    small = shared.where("blocks = 1").select(F.col("key").alias("bucket"), "cls", F.lit(0).alias("side"), *WORDS)
+    large = shared.where("blocks > 1").withColumn("i", own).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    pair = F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j"))
+    large = large.select(pair.alias("bucket"), "cls", F.when(F.col("i") == F.col("j"), 0).when(F.col("i") < F.col("j"), 1).otherwise(2).alias("side"), *WORDS)
+    likely = small.union(large).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_likely, "a long, b long").distinct()
     likely, _ = settle(likely)
-    delete(rows.sparkSession, held)
+    delete(spark, kept), delete(spark, signed)
     needed = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct()
     first = members.join(needed, "cls", "left_semi").groupBy("tab", "cls").agg(F.min("k").alias("k"))
     texts = rows.join(first, ["tab", "k"]).groupBy("cls").agg(F.min("t").alias("t"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packloom.functions.session import delete, settle, ship
+from packloom.llm.groups import groups_of
 from packloom.llm.sample import least_hashed
 
 KEEP = 16
@@ -42,33 +43,6 @@ ASKED = 4096
 """Queries that a task compares with a block; more go in several tasks."""
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches sorted by their first column; a group's rows must fit in memory."""
-    rest: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(keys, keys[-1]))
-        if rest and (rest[-1].column(0)[-1].as_py() != keys[-1] or cut):
-            yield pa.Table.from_batches([*rest, batch.slice(0, cut)])
-            rest = []
-        elif cut:
-            yield pa.Table.from_batches([batch.slice(0, cut)])
-        rest.append(batch.slice(cut))
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """One table for each group."""
-    for table in whole_groups(batches):
-        keys = table.column(0).to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-        for a, b in zip(edges, edges[1:], strict=False):
-            yield table.slice(a, b - a)
-
-
 def _raw(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     """The bytes of values of one width, none of them null."""
     if isinstance(column, pa.ChunkedArray):
@@ -142,7 +116,7 @@ def _split(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 
     A home goes on with the nearest pivot and looks at the next one too.
     """
-    for table in _groups(batches):
+    for table in groups_of(batches):
         is_pivot = table.column("pivot").to_numpy()
         pivots, rest = table.filter(pa.array(is_pivot)), table.filter(pa.array(~is_pivot))
         if not rest.num_rows:
@@ -173,7 +147,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def _best_in_block(batches: Iterator[pa.RecordBatch], size: int, keep: int) -> Iterator[pa.RecordBatch]:
     """(block, node, q) sorted by block -> (node, other, sim): the nearest of each vector in its block."""
-    for table in _groups(batches):
+    for table in groups_of(batches):
         own, units = table.column("node").to_numpy(), _decoded(table.column("q"), size)
         k = min(keep, len(own) - 1)
         for i in range(0, len(own) if k > 0 else 0, BLOCK):
@@ -201,7 +175,7 @@ def _joined(batches: Iterator[pa.RecordBatch], size: int, keep: int) -> Iterator
     vectors near the same centre are compared if one of them is new there, and told of each other if that betters
     the last of their own neighbours. A home passes on the best ``keep`` of each vector.
     """
-    for table in _groups(batches):
+    for table in groups_of(batches):
         links = table.column("kind").to_numpy() == 1
         codes, links = table.filter(pa.array(~links)), table.filter(pa.array(links))
         if not links.num_rows or not codes.num_rows:
@@ -340,7 +314,7 @@ def _round(state: DataFrame, codes: DataFrame, size: int, keep: int) -> DataFram
 
 def _exact(batches: Iterator[pa.RecordBatch], size: int, k: int) -> Iterator[pa.RecordBatch]:
     """Rows of homes (home, kind, a, b, f), vectors before links -> (a, b, cosine to 6 decimals), ``k`` and ties for each a."""
-    for table in _groups(batches):
+    for table in groups_of(batches):
         links = table.column("kind").to_numpy() == 1
         vectors, links = table.filter(pa.array(~links)), table.filter(pa.array(links))
         if not links.num_rows:
@@ -417,7 +391,7 @@ def _scored(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 
 def _in_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """(part, query, id, q) sorted by part, members before queries -> (query, node, sim): the best ``START`` of the part."""
-    for table in _groups(batches):
+    for table in groups_of(batches):
         asked = table.column("query").to_numpy()
         members, asked = table.filter(pa.array(~asked)), table.filter(pa.array(asked))
         if members.num_rows and asked.num_rows:
