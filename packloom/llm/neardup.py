@@ -21,9 +21,9 @@ from packloom.llm.classes import components, spelled_pairs
 from packloom.llm.groups import groups_of, whole_groups
 
 WIDTH = 5
-BANDS, ROWS = 46, 5
+BANDS, ROWS = 64, 6
 MINIMA = BANDS * ROWS
-"""Each band has 5 minima of its own. A pair at similarity 0.7 shares a band with probability 1 - (1 - 0.7 ** 5) ** 46 = 0.9998."""
+"""Each band has 6 minima of its own. A pair at similarity 0.7 shares a band with probability 1 - (1 - 0.7 ** 6) ** 64 = 0.9997."""
 SIGNATURE, AGREE = 64, 30
 """Four bits of 64 minima are compared. At similarity 0.7 some 46 agree, fewer than 30 with a probability under 0.0001."""
 WORDS = ("s0", "s1", "s2", "s3")
@@ -33,7 +33,7 @@ KEYS = 1 << 20
 """About how many keys the tasks that look for repeated ones take at once; there are as many parts of keys as that needs."""
 BUCKET = 256
 """Classes with one key that are compared as one group; larger buckets are compared block by block, in as many groups."""
-BLANKS = re.compile("[ \t\r\n]+")
+BLANKS = re.compile("[ \t\r\n]{2,}|[\t\r\n]")
 
 
 def normal(text: str) -> str:
@@ -46,18 +46,18 @@ def _family(n: int) -> np.ndarray:
     return (np.random.default_rng(2024).integers(1, 2**32, n, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 
 
-def shingles(text: str) -> np.ndarray:
-    """32-bit hashes of the substrings of WIDTH characters, repeated ones included."""
-    p = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    n = len(p) - WIDTH + 1
-    if n <= 0:
-        return np.zeros(0, np.uint32)
+def shingles(texts: list[str]) -> list[np.ndarray]:
+    """For each text 32-bit hashes of its substrings of WIDTH characters, repeated ones included."""
+    ends = np.cumsum([len(t) for t in texts])
+    p = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = max(len(p) - WIDTH + 1, 0)
     h = np.zeros(n, np.uint64)
     for i in range(WIDTH):
         h = h * np.uint64(0x100000001B3) + p[i : i + n]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(32)).astype(np.uint32)
+    h = (h >> np.uint64(32)).astype(np.uint32)
+    return [h[end - len(t) : max(end - WIDTH + 1, end - len(t))] for t, end in zip(texts, ends.tolist(), strict=True)]
 
 
 class Minima:
@@ -131,16 +131,15 @@ def _signatures(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Rec
     salt = _mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
     schema = pa.schema([(c.split()[0], {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[c.split()[1]]) for c in FIELDS.split(", ")])
     blank = [None] * 9
-    for batch in batches:
-        rows = []
-        for tab, k, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            low = normal(text)
+    for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):  # bounds the arrays of a batch
+        rows, lows = [], [normal(t) for t in batch.column(2).to_pylist()]
+        for tab, k, text, low, h in zip(*(c.to_pylist() for c in batch.columns), lows, shingles(lows), strict=True):
             c, raw = _class(tab, low), xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
             if c in seen or len(low) < WIDTH:
                 rows.append((tab, k, c, raw, *blank))
                 continue
             seen.add(c)
-            m = minima(shingles(low))
+            m = minima(h)
             half = (m[:SIGNATURE] & np.uint32(15)).astype(np.uint8)
             words = (half[::2] << 4 | half[1::2]).view(np.int64).tolist()
             if not packed.keys:
