@@ -118,58 +118,91 @@ def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps.view(np.uint64).ravel()), np.ascontiguousarray(planes[5:].T).view(np.uint16).ravel()
 
 
-FIELDS = "tab string, k long, cls long, raw long, " + ", ".join(f"{w} long" for w in WORDS) + ", block long, place int, part long, n int, blob binary"
+FIELDS = pa.schema([("tab", pa.string()), ("k", pa.int64()), ("cls", pa.int64()), ("raw", pa.int64()), ("part", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), ("blob", pa.binary())])
+DDL = "tab string, k long, cls long, raw long, part int, block long, n int, blob binary"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """(tab, k, t) -> rows of ``FIELDS``: for each text its class and spelling; for a partition's first of a class also its signature and place in a block; and the blocks' keys.
+    """(tab, k, t) -> rows of ``FIELDS``: each text's class and spelling, and for each block of a partition's distinct classes its keys by their part, and who they are (part -1): classes and signatures.
 
     The first 2 ** bits parts of the keys' range are told apart, and 40 more bits of each key.
     """
-    minima, seen, packed = Minima(MINIMA), set(), Packed(bits)
+    minima, seen, packed, held = Minima(MINIMA), set(), Packed(bits), []
     odd = _mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
     salt = _mix(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
-    schema = pa.schema([(c.split()[0], {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[c.split()[1]]) for c in FIELDS.split(", ")])
-    blank = [None] * 9
+
+    def block() -> pa.RecordBatch:
+        who = np.array([c for c, _ in held], np.int64).tobytes() + b"".join(w for _, w in held)
+        rows = [(-1, packed.name, len(held), who), *packed.rows()]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.nulls(len(rows), f.type) for f in list(FIELDS)[:4]] + [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(FIELDS)[4:], strict=True)], schema=FIELDS)
+
     for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):  # bounds the arrays of a batch
-        rows, lows = [], [normal(t) for t in batch.column(2).to_pylist()]
-        for tab, k, text, low, h in zip(*(c.to_pylist() for c in batch.columns), lows, shingles(lows), strict=True):
-            c, raw = _class(tab, low), xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
+        cls, raw, lows = [], [], [normal(t) for t in batch.column(2).to_pylist()]
+        for tab, text, low, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), lows, shingles(lows), strict=True):
+            c = _class(tab, low)
+            cls.append(c), raw.append(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63)
             if c in seen or len(low) < WIDTH:
-                rows.append((tab, k, c, raw, *blank))
                 continue
             seen.add(c)
             m = minima(h)
             half = (m[:SIGNATURE] & np.uint32(15)).astype(np.uint8)
-            words = (half[::2] << 4 | half[1::2]).view(np.int64).tolist()
-            if not packed.keys:
+            if not held:
                 packed.name = c  # a class begins one block only
-            key = _mix((m.reshape(BANDS, ROWS).astype(np.uint64) * odd).sum(axis=1, dtype=np.uint64) + salt + np.uint64(xxhash.xxh3_64_intdigest(tab)))
-            packed.keys.append(key)
-            rows.append((tab, k, c, raw, *words, packed.name, len(packed.keys) - 1, None, None, None))
-            if len(packed.keys) == HELD:
-                rows += [(*[None] * 8, name, None, p, n, blob) for p, name, n, blob in packed.rows()]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-    if packed.keys:
-        rows = [(*[None] * 8, name, None, p, n, blob) for p, name, n, blob in packed.rows()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            held.append((c, (half[::2] << 4 | half[1::2]).tobytes()))
+            packed.keys.append(_mix((m.reshape(BANDS, ROWS).astype(np.uint64) * odd).sum(axis=1, dtype=np.uint64) + salt + np.uint64(xxhash.xxh3_64_intdigest(tab))))
+            if len(held) == HELD:
+                yield block()
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cls, pa.int64()), pa.array(raw, pa.int64()), *[pa.nulls(len(cls), f.type) for f in list(FIELDS)[4:]]], schema=FIELDS)
+    if held:
+        yield block()
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, block, n, blob) sorted by part -> (key, block, place) of the keys that come more than once."""
+    """(part, block, n, blob) sorted by part and block -> (block, n, blob): the buckets, places and sides of the keys that come more than once.
+
+    A key is a bucket; one of more than ``BUCKET`` classes is a bucket for each pair of blocks of its classes, and
+    sides 1 and 2 tell the blocks apart.
+    """
     for table in groups_of(batches):
         part = table.column("part")[0].as_py()
-        blocks = table.column("block").to_numpy()
+        names = table.column("block").to_numpy()
         each = [_unpacked(blob, n) for blob, n in zip(table.column("blob").to_pylist(), table.column("n").to_pylist(), strict=True)]
         keys, place = (np.concatenate([x[i] for x in each]) for i in (0, 1))
-        block = np.repeat(blocks, [len(x[0]) for x in each])
+        block = np.repeat(np.arange(len(names)), [len(x[0]) for x in each])
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
-        same = keys[1:] == keys[:-1]
-        again = np.append(False, same) | np.append(same, False)
-        order = order[again]
-        yield pa.RecordBatch.from_arrays([pa.array((keys[again] | np.uint64(part << 40)).view(np.int64)), pa.array(block[order]), pa.array(place[order].astype(np.int32))], ["key", "block", "place"])
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        m = np.repeat(np.diff(np.append(first, len(keys))), np.diff(np.append(first, len(keys))))
+        bucket = _mix(keys | np.uint64(part << 40))
+        small, large = np.flatnonzero((m > 1) & (m <= BUCKET)), np.flatnonzero(m > BUCKET)
+        yield _by_block(names, block[order[small]], bucket[small], place[order[small]], np.zeros(len(small), np.uint8))
+        blocks = -(-m[large] // BUCKET)
+        own = (_mix(_mix(names[block[order[large]]].view(np.uint64)) + place[order[large]]) % blocks.astype(np.uint64)).astype(np.int64)
+        for j in range(int(blocks.max(initial=0))):  # each class meets every block of its bucket, its own included
+            at = np.flatnonzero(blocks > j)
+            low, high = np.minimum(own[at], j), np.maximum(own[at], j)
+            pair = _mix(bucket[large[at]] + _mix((low * (1 << 31) + high + 1).astype(np.uint64)))
+            yield _by_block(names, block[order[large[at]]], pair, place[order[large[at]]], np.where(own[at] == j, 0, np.where(own[at] < j, 1, 2)).astype(np.uint8))
+
+
+def _by_block(names: np.ndarray, block: np.ndarray, bucket: np.ndarray, place: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(block, kind="stable")
+    edges = np.searchsorted(block[order], np.arange(len(names) + 1))
+    rows = [(int(names[i]), int(b - a), bucket[o].tobytes() + place[o].tobytes() + side[o].tobytes()) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a and len(o := order[a:b])]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], ["block", "n", "blob"])
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, who, n, blob) sorted, who is in a block before its repeated keys -> (bucket, cls, side, words)."""
+    cls = words = None
+    for batch in batches:
+        for first, n, blob in zip(*(batch.column(c).to_pylist() for c in ("who", "n", "blob")), strict=True):
+            if first:
+                cls, words = np.frombuffer(blob, np.int64, n), np.frombuffer(blob, np.int64, 4 * n, 8 * n).reshape(n, 4)
+                continue
+            bucket, place, side = np.frombuffer(blob, np.int64, n), np.frombuffer(blob, np.uint16, n, 8 * n), np.frombuffer(blob, np.uint8, n, 10 * n)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(cls[place]), pa.array(side.astype(np.int32)), *map(pa.array, np.ascontiguousarray(words[place].T))], ["bucket", "cls", "side", *WORDS])
 
 
 def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -233,25 +266,14 @@ def class_links(rows: DataFrame, least: float = 0.7) -> tuple[DataFrame, DataFra
     bits = max(0, int(np.ceil(np.log2(max(rows.count(), 1) * BANDS / KEYS))))
     rows = rows.where("k is not null and t is not null").select(F.col("tab").cast("string"), F.col("k").cast("long"), "t")
     rows = rows.where(not_blank("t"))
-    wide, path = settle(rows.select("tab", "k", "t").mapInArrow(lambda it: _signatures(it, bits), FIELDS))
-    packed = wide.where("part is not null").select("part", "block", "n", "blob")
-    again, held = settle(packed.repartition("part").sortWithinPartitions("part").mapInArrow(_repeated, "key long, block long, place int"))
+    wide, path = settle(rows.select("tab", "k", "t").mapInArrow(lambda it: _signatures(it, bits), DDL))
+    packed = wide.where("part >= 0").select("part", "block", "n", "blob")
+    again = packed.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_repeated, "block long, n int, blob binary")
+    known = wide.where("part = -1").select("block", F.lit(True).alias("who"), "n", "blob").union(again.select("block", F.lit(False), "n", "blob"))
+    classes = known.repartition("block").sortWithinPartitions("block", F.desc("who")).mapInArrow(_named, "bucket long, cls long, side int, " + ", ".join(f"{w} long" for w in WORDS))
+    likely, _ = settle(classes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_likely, "a long, b long").distinct())
     members, _ = settle(wide.where("part is null").select("tab", "k", "cls", "raw"))
-    signatures, signed = settle(wide.where("place is not null").select("block", "place", "cls", *WORDS))
     delete(spark, path)
-    named = again.join(signatures.select("block", "place", "cls"), ["block", "place"]).select("key", "cls")
-    sizes = named.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("key", F.ceil(F.col("m") / BUCKET).alias("blocks"))
-    shared, kept = settle(named.join(sizes, "key").dropDuplicates(["key", "cls"]))
-    delete(spark, held)
-    shared = shared.join(signatures.drop("block", "place").dropDuplicates(["cls"]), "cls")
-    own = F.pmod(F.xxhash64("cls"), F.col("blocks"))
-    small = shared.where("blocks = 1").select(F.col("key").alias("bucket"), "cls", F.lit(0).alias("side"), *WORDS)
-    large = shared.where("blocks > 1").withColumn("i", own).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    pair = F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j"))
-    large = large.select(pair.alias("bucket"), "cls", F.when(F.col("i") == F.col("j"), 0).when(F.col("i") < F.col("j"), 1).otherwise(2).alias("side"), *WORDS)
-    likely = small.union(large).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_likely, "a long, b long").distinct()
-    likely, _ = settle(likely)
-    delete(spark, kept), delete(spark, signed)
     needed = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct()
     first = members.join(needed, "cls", "left_semi").groupBy("tab", "cls").agg(F.min("k").alias("k"))
     texts = rows.join(first, ["tab", "k"]).groupBy("cls").agg(F.min("t").alias("t"))
