@@ -99,12 +99,12 @@ class Packed:
         order = np.argsort(keys)
         keys, place = keys[order], (order // BANDS).astype(np.uint16)
         part = (keys >> np.uint64(63 - self.bits)).astype(np.int64) >> 1
-        low = keys >> np.uint64(24 - self.bits) & np.uint64(2**40 - 1)
+        low = keys >> np.uint64(32 - self.bits) & np.uint64(2**32 - 1)
         edges = np.searchsorted(part, np.arange(2**self.bits + 1))
         out = []
         for p in np.flatnonzero(np.diff(edges)).tolist():
             a, b = edges[p], edges[p + 1]
-            steps = np.diff(low[a:b], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :5]
+            steps = np.diff(low[a:b], prepend=np.uint64(0)).astype(np.uint32).view(np.uint8).reshape(-1, 4)
             planes = place[a:b].view(np.uint8).reshape(-1, 2)
             out.append((p, self.name, int(b - a), np.ascontiguousarray(np.hstack([steps, planes]).T).tobytes()))
         self.keys = []
@@ -112,10 +112,9 @@ class Packed:
 
 
 def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(blob, np.uint8).reshape(7, n)
-    steps = np.zeros((n, 8), np.uint8)
-    steps[:, :5] = planes[:5].T
-    return np.cumsum(steps.view(np.uint64).ravel()), np.ascontiguousarray(planes[5:].T).view(np.uint16).ravel()
+    planes = np.frombuffer(blob, np.uint8).reshape(6, n)
+    steps = np.ascontiguousarray(planes[:4].T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(planes[4:].T).view(np.uint16).ravel()
 
 
 FIELDS = pa.schema([("tab", pa.string()), ("k", pa.int64()), ("cls", pa.int64()), ("raw", pa.int64()), ("part", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), ("blob", pa.binary())])
@@ -125,7 +124,7 @@ DDL = "tab string, k long, cls long, raw long, part int, block long, n int, blob
 def _signatures(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """(tab, k, t) -> rows of ``FIELDS``: each text's class and spelling, and for each block of a partition's distinct classes its keys by their part, and who they are (part -1): classes and signatures.
 
-    The first 2 ** bits parts of the keys' range are told apart, and 40 more bits of each key.
+    The first 2 ** bits parts of the keys' range are told apart, and 32 more bits of each key: at about ``KEYS`` keys a part, one in some thousands is like another by chance.
     """
     minima, seen, packed, held = Minima(MINIMA), set(), Packed(bits), []
     odd = _mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -174,7 +173,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = keys[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         m = np.repeat(np.diff(np.append(first, len(keys))), np.diff(np.append(first, len(keys))))
-        bucket = _mix(keys | np.uint64(part << 40))
+        bucket = _mix(keys | np.uint64(part << 32))
         small, large = np.flatnonzero((m > 1) & (m <= BUCKET)), np.flatnonzero(m > BUCKET)
         yield _by_block(names, block[order[small]], bucket[small], place[order[small]], np.zeros(len(small), np.uint8))
         blocks = -(-m[large] // BUCKET)
@@ -268,12 +267,14 @@ def class_links(rows: DataFrame, least: float = 0.7) -> tuple[DataFrame, DataFra
     rows = rows.where(not_blank("t"))
     wide, path = settle(rows.select("tab", "k", "t").mapInArrow(lambda it: _signatures(it, bits), DDL))
     packed = wide.where("part >= 0").select("part", "block", "n", "blob")
-    again = packed.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_repeated, "block long, n int, blob binary")
-    known = wide.where("part = -1").select("block", F.lit(True).alias("who"), "n", "blob").union(again.select("block", F.lit(False), "n", "blob"))
-    classes = known.repartition("block").sortWithinPartitions("block", F.desc("who")).mapInArrow(_named, "bucket long, cls long, side int, " + ", ".join(f"{w} long" for w in WORDS))
-    likely, _ = settle(classes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_likely, "a long, b long").distinct())
+    again, held = settle(packed.repartition("part").sortWithinPartitions("part", "block").mapInArrow(_repeated, "block long, n int, blob binary"))
     members, _ = settle(wide.where("part is null").select("tab", "k", "cls", "raw"))
+    who, named = settle(wide.where("part = -1").select("block", F.lit(True).alias("who"), "n", "blob"))
     delete(spark, path)
+    known = who.union(again.select("block", F.lit(False), "n", "blob"))
+    classes = known.repartition("block").sortWithinPartitions("block", F.desc("who")).mapInArrow(_named, "bucket long, cls long, side int, " + ", ".join(f"{w} long" for w in WORDS))
+    likely, _ = settle(classes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_likely, "a long, b long").distinct())
+    delete(spark, held), delete(spark, named)
     needed = likely.select(F.col("a").alias("cls")).union(likely.select("b")).distinct()
     first = members.join(needed, "cls", "left_semi").groupBy("tab", "cls").agg(F.min("k").alias("k"))
     texts = rows.join(first, ["tab", "k"]).groupBy("cls").agg(F.min("t").alias("t"))
