@@ -105,8 +105,8 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_pages(spark: SparkSession, d: str) -> DataFrame:
-    documents = _read(spark, d, "documents")
-    return spam.pages(documents, spam.fitted(documents))
+    seen = spam.features(_read(spark, d, "documents"))
+    return spam.judged(seen, spam.fit(seen))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
