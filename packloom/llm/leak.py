@@ -20,10 +20,12 @@ from packloom.llm import chars
 WINDOW = 12
 FIXED = 4
 """A window with fewer plain words than this is joined on its very words: its template says too little."""
-VOCABULARY = 200_000
-"""Plain words kept, the most frequent of the items; any other word counts as a name. Bounds what is sent to tasks."""
-KEYS = 4_000_000
-"""Up to so many item windows (32 MB) are sent to tasks to drop other windows early; beyond, all windows are joined."""
+LARGEST = 28
+"""A Bloom filter has at most 2 ** 28 bits, 32 MB; with more hashes in it, more of what it lets pass isn't in it, and the join finds that out."""
+CHUNK = 19
+"""Bits of a filter that one task sets, as a power of two."""
+HOT = 20_000
+"""Windows of documents with one key that a task joins; more go in several tasks."""
 # Words of measurement that become the placeholder for units.
 UNITS = "mm cm m km g kg mg t ml l s ms min h hz khz mhz ghz kb mb gb tb px pt percent prozent cento ciento cent процента секунд секунды seconds sekunden secondes segundos".split()
 NUMBER, NAME, UNIT = np.uint64(11), np.uint64(13), np.uint64(17)
@@ -69,8 +71,8 @@ class Words:
     def string(self, i: int) -> str:
         return (self.codes[self.begin[i] : self.end[i]] - 2).astype(np.uint32).tobytes().decode("utf-32-le")
 
-    def windows(self, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of all windows, and the word at which each begins. ``plain`` holds the hashes of the vocabulary, sorted."""
+    def windows(self, plain: Bloom) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all windows, and the word at which each begins. ``plain`` holds the hashes of the vocabulary."""
         n = len(self.hash) - WINDOW + 1
         if n <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -85,9 +87,9 @@ class Words:
         at = np.flatnonzero(self.text[: n] == self.text[WINDOW - 1 :])
         return _mix(np.where(enough, template, exact))[at], at
 
-    def kinds(self, plain: np.ndarray) -> np.ndarray:
+    def kinds(self, plain: Bloom) -> np.ndarray:
         """0 plain word, 1 number, 2 name, 3 unit."""
-        kind = np.where(_in(self.hash, plain), 0, 2).astype(np.int8)
+        kind = np.where(plain.has(self.hash), 0, 2).astype(np.int8)
         kind[_in(self.hash, _units())] = 3
         kind[self.number] = 1
         return kind
@@ -104,20 +106,67 @@ def _units() -> np.ndarray:
     return np.sort(Words(UNITS).hash)
 
 
+class Bloom:
+    """A set of 64-bit hashes, of which it never misses one, in a fixed number of bits."""
+
+    def __init__(self, power: int, bits: np.ndarray) -> None:
+        self.power, self.bits = power, bits
+
+    @staticmethod
+    def positions(h: np.ndarray, power: int) -> list[np.ndarray]:
+        return [(_mix(_mix(h + odd) * _ODD) >> np.uint64(64 - power)).astype(np.int64) for odd in (np.uint64(1), np.uint64(0x5DEECE66D))]
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        for at in self.positions(h, self.power):
+            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        return out
+
+    @classmethod
+    def of(cls, hashes: DataFrame, about: int) -> Bloom:
+        """The filter of the column ``h`` of ``hashes``, of which there are ``about`` so many: set chunk by chunk in tasks, gathered as at most 32 MB."""
+        power = int(min(LARGEST, max(CHUNK, np.ceil(np.log2(16 * max(about, 1))))))
+        placed = hashes.select("h").mapInArrow(lambda it: _offsets(it, power), "chunk int, offsets binary")
+        chunks = placed.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_chunk_bits, "chunk int, bits binary")
+        bits = np.zeros(2 ** (power - 3), np.uint8)
+        for r in chunks.collect():
+            bits[r.chunk << CHUNK - 3 : r.chunk + 1 << CHUNK - 3] = np.frombuffer(r.bits, np.uint8)
+        return cls(power, bits)
+
+
+def _offsets(batches: Iterator[pa.RecordBatch], power: int) -> Iterator[pa.RecordBatch]:
+    """(h) -> (chunk, offsets) of the bits to be set."""
+    for batch in batches:
+        at = np.unique(np.concatenate(Bloom.positions(batch.column(0).to_numpy().view(np.uint64), power)))
+        edges = np.flatnonzero(np.append(True, np.diff(at >> CHUNK) > 0)) if len(at) else np.zeros(0, np.int64)
+        low = (at & 2**CHUNK - 1).astype(np.uint32)
+        parts = [low[a:b].tobytes() for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(at)], strict=False)]
+        yield pa.RecordBatch.from_arrays([pa.array((at[edges] >> CHUNK).astype(np.int32)), pa.array(parts, pa.binary())], ["chunk", "offsets"])
+
+
+def _chunk_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, offsets) sorted -> (chunk, bits)."""
+    chunk, bits = None, np.zeros(2**CHUNK, np.uint8)
+    for batch in batches:
+        for c, offsets in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            if c != chunk:
+                if chunk is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["chunk", "bits"])
+                chunk, bits = c, np.zeros(2**CHUNK, np.uint8)
+            bits[np.frombuffer(offsets, np.uint32)] = 1
+    if chunk is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["chunk", "bits"])
+
+
 def _plain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the words that begin with a small letter or in a script without case."""
     for batch in batches:
-        found: dict[str, int] = {}
-        for text in batch.column(0).to_pylist():
-            for raw in chars.re.findall(r"[^\W_]+", chars.canonical(text)):
-                if raw[0] == raw[0].lower():
-                    found[raw] = found.get(raw, 0) + 1
-        words = [w for w in found if len(Words([w]).hash) == 1]
-        hashes = Words(words).hash.view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array([found[w] for w in words], pa.int64())], ["h", "n"])
+        found = {raw for text in batch.column(0).to_pylist() for raw in chars.re.findall(r"[^\W_]+", chars.canonical(text)) if raw[0] == raw[0].lower()}
+        hashes = Words([w for w in sorted(found) if len(Words([w]).hash) == 1]).hash.view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes)], ["h"])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch], plain: np.ndarray, wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterator[pa.RecordBatch], plain: Bloom, wanted: Bloom | None) -> Iterator[pa.RecordBatch]:
     """(k, t) -> (k, place, key, words, slots) of all windows, or of those whose key is wanted."""
     for batch in batches:
         for cut in range(0, batch.num_rows, 500):  # bounds the arrays of a batch of long texts
@@ -125,7 +174,7 @@ def _keyed(batches: Iterator[pa.RecordBatch], plain: np.ndarray, wanted: np.ndar
             words = Words(part.column(1).to_pylist())
             keys, at = words.windows(plain)
             if wanted is not None:
-                hit = _in(keys, wanted)
+                hit = wanted.has(keys)
                 keys, at = keys[hit], at[hit]
             kind = words.kinds(plain)
             strings: dict[int, str] = {}
@@ -158,15 +207,16 @@ def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str
     of = lambda df, k: df.where(F.col(k).isNotNull() & F.col(text).isNotNull()).select(F.col(k).cast("long").alias("k"), F.col(text).alias("t"))
     schema = "k long, place int, key long, words string, slots array<int>"
     asked = of(items, item)
-    common = asked.select("t").mapInArrow(_plain_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(VOCABULARY)
-    plain = np.sort(np.array([r.h for r in common.select("h").collect()], np.int64).view(np.uint64))
-    passages, _ = settle(asked.mapInArrow(lambda it: _keyed(it, plain, None), schema).distinct())
-    wanted = None
-    if passages.count() <= KEYS:
-        wanted = np.unique(np.array([r.key for r in passages.select("key").distinct().collect()], np.int64).view(np.uint64))
-    sent = spark.sparkContext.broadcast((plain, wanted))
-    found = of(documents, doc).mapInArrow(lambda it: _keyed(it, *sent.value), schema).distinct()
-    pairs = found.alias("d").join(passages.alias("i"), "key").select(
+    letters = asked.agg(F.sum(F.length("t"))).first()[0] or 0
+    plain = Bloom.of(asked.select("t").mapInArrow(_plain_words, "h long"), letters // 6)
+    known = spark.sparkContext.broadcast(plain)
+    passages, _ = settle(asked.mapInArrow(lambda it: _keyed(it, known.value, None), schema).distinct())
+    sent = spark.sparkContext.broadcast(Bloom.of(passages.select(F.col("key").alias("h")), letters // 6))
+    found, _ = settle(of(documents, doc).mapInArrow(lambda it: _keyed(it, known.value, sent.value), schema).distinct())
+    salts = found.groupBy("key").agg(F.ceil(F.count("*") / HOT).alias("salts"))
+    keyed = passages.join(salts, "key").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    hits = found.join(salts, "key").withColumn("salt", F.pmod(F.xxhash64("k"), F.col("salts")))
+    pairs = hits.alias("d").join(keyed.alias("i"), ["key", "salt"]).select(
         F.col("d.k").alias(doc), F.col("i.k").alias(item), F.col("d.words").alias("dw"), F.col("i.words").alias("iw"), F.col("i.slots").alias("at"))
     fillings = F.expr("transform(at, x -> named_struct('i', split(iw, ' ')[x], 'd', split(dw, ' ')[x]))")
     pairs = pairs.groupBy(doc, item).agg(
