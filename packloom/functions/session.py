@@ -42,14 +42,16 @@ def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    getattr(spark.sparkContext, "_packloom_kept", {}).pop(path, None)
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    """Delete ``path`` when the driver ends, if its JVM still runs."""
-    try:
-        delete(spark, path)
-    except Exception:  # noqa: BLE001 - nothing depends on it
-        pass
+def _forget(spark: SparkSession, kept: dict[str, None]) -> None:
+    """Delete what is left of the settled tables when the driver ends, if its JVM still runs."""
+    for path in list(kept):
+        try:
+            delete(spark, path)
+        except Exception:  # noqa: BLE001 - nothing depends on it
+            return
 
 
 def settle(df: DataFrame) -> tuple[DataFrame, str]:
@@ -57,9 +59,15 @@ def settle(df: DataFrame) -> tuple[DataFrame, str]:
 
     The copy outlives executors, and the plan behind it is cut. Returns the table and its path, for ``delete``.
     """
-    path = f"{shared_dir(df.sparkSession)}/packloom-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    path = f"{shared_dir(spark)}/packloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_forget, df.sparkSession, path)
+    kept = getattr(sc, "_packloom_kept", None)
+    if kept is None:
+        kept = sc._packloom_kept = {}
+        atexit.register(_forget, spark, kept)
+    kept[path] = None
     # the shuffles behind the table are needed no more; Spark deletes their files once the driver collects them
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    sc._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path), path

@@ -7,7 +7,7 @@ from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packloom.functions.session import ship
@@ -125,7 +125,7 @@ def chunk(documents: DataFrame, size: int = 512, overlap: int = 50, sentences: b
     Null and blank texts have no chunks. Windows that hold only white space are left out and take no id. Offsets
     count in the text without white space at its ends. Without sentence ends to respect, and without a
     ``tokenizer`` (called once for each task, to give a counting function), windows have a closed form and no
-    Python runs. Repeated rows are chunked each; very long texts within one task.
+    Python runs. Repeated rows are chunked and numbered each on their own; very long texts within one task.
     """
     check(size, overlap)
     if not sentences and tokenizer is None:
@@ -138,17 +138,16 @@ def chunk(documents: DataFrame, size: int = 512, overlap: int = 50, sentences: b
 
 
 def _fixed(documents: DataFrame, size: int, overlap: int, key: str, text: str) -> DataFrame:
+    """Windows in closed form, numbered within their row, so nothing is shuffled."""
     step, width = PER_TOKEN * (size - overlap), PER_TOKEN * size
     t = documents.select(F.col(key).alias("doc_id"), strip(text).alias("t")).where(F.length("t") > 0)
     n = F.length("t")
     last = F.when(n <= width + PER_TOKEN - 1, 0).otherwise(F.ceil((n - width) / step).cast("int"))
-    w = t.select("doc_id", "t", F.explode(F.sequence(F.lit(0), last)).alias("i"), (last > 0).alias("many"))
-    a = F.col("i") * step
-    w = w.select("doc_id", "i", a.alias("a"), F.when(F.col("many"), F.substring("t", a + 1, F.lit(width))).otherwise(F.col("t")).alias("part"))
-    bare = strip("part")
-    w = w.select("doc_id", "i", bare.alias("text"), (F.col("a") + F.length("part") - F.length(F.ltrim("part", F.lit(WS)))).alias("start_char")).where(F.length("text") > 0)
-    order = Window.partitionBy("doc_id").orderBy("i")
-    return w.select("doc_id", (F.row_number().over(order) - 1).alias("chunk_id"), "text", "start_char", (F.col("start_char") + F.length("text")).alias("end_char"), token_count("text").alias("token_count"))
+    t = t.withColumn("w", F.when(last > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("t"), i * step + 1, F.lit(width)))).otherwise(F.array("t")))
+    t = t.withColumn("w", F.transform("w", lambda x, i: F.struct((i * step + F.length(x) - F.length(F.ltrim(x, F.lit(WS)))).alias("a"), strip(x).alias("bare"))))
+    w = t.select("doc_id", F.posexplode(F.filter("w", lambda x: F.length(x["bare"]) > 0)).alias("chunk_id", "x"))
+    w = w.select("doc_id", "chunk_id", F.col("x.bare").alias("text"), F.col("x.a").alias("start_char"))
+    return w.select("doc_id", "chunk_id", "text", "start_char", (F.col("start_char") + F.length("text")).alias("end_char"), token_count("text").alias("token_count"))
 
 
 def info(chunks: DataFrame) -> DataFrame:

@@ -49,10 +49,13 @@ def enrich(chunks: DataFrame, features: tuple[str, ...] = (), now: Column | None
     )
     if "bm25_tf_idf" not in features:
         return out
-    every = words("text")
-    kinds = F.array_distinct(every)
-    counted = F.map_from_arrays(kinds, F.transform(kinds, lambda k: F.size(F.filter(every, lambda w: w == k))))
-    return out.withColumn("bm25_features", F.struct(counted.alias("term_frequency"), F.size(every).alias("document_length"), F.size(kinds).alias("unique_terms")))
+    out = out.withColumn("_w", F.array_sort(words("text")))
+    begins = F.transform("_w", lambda w, i: F.when((i == 0) | (w != F.get(F.col("_w"), i - 1)), i))  # sorted, a word's copies are one run
+    out = out.withColumn("_b", F.filter(begins, lambda i: i.isNotNull()))
+    kinds = F.transform("_b", lambda i: F.get(F.col("_w"), i))
+    counts = F.transform("_b", lambda i, j: F.coalesce(F.get(F.col("_b"), j + 1), F.size("_w")) - i)
+    features_of = F.struct(F.map_from_arrays(kinds, counts).alias("term_frequency"), F.size("_w").alias("document_length"), F.size("_b").alias("unique_terms"))
+    return out.withColumn("bm25_features", features_of).drop("_w", "_b")
 
 
 def index_metadata(registry: DataFrame, chunks: DataFrame) -> DataFrame:

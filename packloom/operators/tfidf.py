@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packloom.functions import stopwords
-from packloom.functions.session import settle
+from packloom.functions.session import settle, ship
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -43,21 +46,46 @@ class Fitted:
     stop: tuple[str, ...] | None = None
 
 
-def _counts(rows: DataFrame, key: str, text: str, out: str, ngrams: tuple[int, int], stop: tuple[str, ...] | None) -> DataFrame:
-    words = rows.where(F.col(text).isNotNull()).select(F.col(key).alias(out), kept_words(text, stop).alias("words"))
-    each = words.select(out, F.explode(grams("words", ngrams)).alias("term"))
-    return each.groupBy(out, "term").agg(F.count("*").alias("tf"))
+def _words(rows: DataFrame, key: str, text: str, out: str, stop: tuple[str, ...] | None) -> DataFrame:
+    return rows.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias(out), kept_words(text, stop).alias("words"))
 
 
-def _weights(counts: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
-    raw = counts.join(vocabulary.select("term", "idf"), "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, key).select(key, "term", "tf", (F.col("raw") / F.col("norm")).alias("weight"))
+def _weighted(batches: Iterator[pa.RecordBatch], terms: dict[str, tuple[int, float]], ngrams: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """(key, words) -> (key, place, tf, weight) of the terms in the vocabulary, weights of length 1 in each row."""
+    for batch in batches:
+        at, place, tf, weight = [], [], [], []
+        for i, own in enumerate(batch.column(1).to_pylist()):
+            counts: dict[tuple[int, float], int] = {}
+            for n in range(ngrams[0], ngrams[1] + 1):
+                for term in own if n == 1 else map(" ".join, zip(*(own[j:] for j in range(n)), strict=False)):
+                    if (known := terms.get(term)) is not None:
+                        counts[known] = counts.get(known, 0) + 1
+            raw = [c * idf for (_, idf), c in counts.items()]
+            norm = math.sqrt(math.fsum(x * x for x in raw))
+            at += [i] * len(raw)
+            place += [p for p, _ in counts]
+            tf += counts.values()
+            weight += [x / norm for x in raw]
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(place, pa.int32()), pa.array(tf, pa.int64()), pa.array(weight, pa.float64())], ["k", "feature_index", "tf", "weight"])
 
 
-def vocabulary(counts: DataFrame, n: Column | int, max_features: int) -> DataFrame:
-    """The ``max_features`` terms of most occurrences, ties to the smaller term, with their idf among ``n`` chunks."""
-    totals = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("ctf"))
+def _weights(rows: DataFrame, vocabulary: DataFrame, ngrams: tuple[int, int], out: str) -> DataFrame:
+    """The weights of rows (key, words). The vocabulary, as many rows as its parameter allows, goes to the tasks."""
+    spark = rows.sparkSession
+    ship(spark)
+    sent = spark.sparkContext.broadcast({r.term: (r.feature_index, r.idf) for r in vocabulary.select("term", "feature_index", "idf").collect()})
+    found = rows.mapInArrow(lambda it: _weighted(it, sent.value, ngrams), "k long, feature_index int, tf long, weight double")
+    return found.join(F.broadcast(vocabulary.select("feature_index", "term")), "feature_index").select(F.col("k").alias(out), "term", "tf", "weight")
+
+
+def vocabulary(words: DataFrame, n: Column | int, max_features: int, ngrams: tuple[int, int] = (1, 2)) -> DataFrame:
+    """The ``max_features`` terms of most occurrences in the ``words`` of ``n`` chunks, ties to the smaller term, with their idf.
+
+    A row's terms are sorted in the row, so the first of each term counts for its chunks and nothing but counts by term is shuffled.
+    """
+    terms = words.select(F.array_sort(grams("words", ngrams)).alias("terms"))
+    each = terms.select(F.explode(F.transform("terms", lambda t, i: F.struct(t.alias("term"), ((i == 0) | (t != F.get(F.col("terms"), i - 1))).alias("first")))).alias("x"))
+    totals = each.groupBy(F.col("x.term").alias("term")).agg(F.count_if("x.first").alias("df"), F.count("*").alias("ctf"))
     top = totals.orderBy(F.desc("ctf"), "term").limit(max_features)  # at most max_features rows from here on
     index = F.row_number().over(Window.orderBy("term")) - 1
     return top.select("term", index.alias("feature_index"), "df", "ctf", (F.log((F.lit(1.0) + n) / (1 + F.col("df"))) + 1).alias("idf"))
@@ -66,16 +94,16 @@ def vocabulary(counts: DataFrame, n: Column | int, max_features: int) -> DataFra
 def fit(rows: DataFrame, key: str = "doc_id", text: str = "text", max_features: int = 5000, ngrams: tuple[int, int] = (1, 2), stop: tuple[str, ...] | None = None) -> Fitted:
     """Fit the corpus. Null texts count as chunks without terms; a corpus without any term raises ValueError.
 
-    The vocabulary has at most ``max_features`` rows, so joins with it are broadcast; chunk weights stay distributed.
+    Keys are whole numbers, one for each row; repeated rows are weighted each. Rows are counted and weighted where
+    they lie: only counts by term are shuffled.
     """
     if max_features < 1:
         raise ValueError("max_features must be at least 1")
-    counts, _ = settle(_counts(rows, key, text, "chunk_index", ngrams, stop))  # else each use below reads the texts anew
-    n = rows.count()
-    words, _ = settle(vocabulary(counts, n, max_features))
-    if not words.limit(1).count():
+    words = _words(rows, key, text, "chunk_index", stop)
+    terms, _ = settle(vocabulary(words, rows.count(), max_features, ngrams))
+    if not terms.limit(1).count():
         raise ValueError("empty vocabulary")
-    return Fitted(words, _weights(counts, words, "chunk_index"), ngrams, stop)
+    return Fitted(terms, _weights(words, terms, ngrams, "chunk_index"), ngrams, stop)
 
 
 def topk(model: Fitted, queries: DataFrame, k: int, key: str = "query_id", text: str = "text") -> DataFrame:
@@ -85,7 +113,7 @@ def topk(model: Fitted, queries: DataFrame, k: int, key: str = "query_id", text:
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    asked = _weights(_counts(queries, key, text, "query_id", model.ngrams, model.stop), model.vocabulary, "query_id").select("query_id", "term", F.col("weight").alias("q"))
+    asked = _weights(_words(queries, key, text, "query_id", model.stop), model.vocabulary, model.ngrams, "query_id").select("query_id", "term", F.col("weight").alias("q"))
     scores = model.weights.join(asked, "term").groupBy("query_id", "chunk_index").agg(F.round(F.sum(F.col("q") * F.col("weight")), 6).alias("score")).where("score > 0")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_index")
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "chunk_index", "score")
