@@ -49,13 +49,14 @@ def enrich(chunks: DataFrame, features: tuple[str, ...] = (), now: Column | None
     )
     if "bm25_tf_idf" not in features:
         return out
-    out = out.withColumn("_w", F.array_sort(words("text")))
-    begins = F.transform("_w", lambda w, i: F.when((i == 0) | (w != F.get(F.col("_w"), i - 1)), i))  # sorted, a word's copies are one run
-    out = out.withColumn("_b", F.filter(begins, lambda i: i.isNotNull()))
-    kinds = F.transform("_b", lambda i: F.get(F.col("_w"), i))
-    counts = F.transform("_b", lambda i, j: F.coalesce(F.get(F.col("_b"), j + 1), F.size("_w")) - i)
-    features_of = F.struct(F.map_from_arrays(kinds, counts).alias("term_frequency"), F.size("_w").alias("document_length"), F.size("_b").alias("unique_terms"))
-    return out.withColumn("bm25_features", features_of).drop("_w", "_b")
+    # no lambda below refers to a whole array: the optimizer would put the array's making into the lambda
+    w = F.array_sort(words("text"))
+    first = F.zip_with(w, F.concat(F.array(F.lit("")), w), lambda x, before: x != before)  # sorted, a word's copies are one run
+    begins = F.filter(F.transform(first, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+    ends = F.concat(F.slice(begins, 2, F.greatest(F.size(begins) - 1, F.lit(0))), F.array(F.size(w)))
+    kinds, counts = F.array_distinct(w), F.zip_with(begins, F.slice(ends, 1, F.size(begins)), lambda i, j: j - i)
+    counted = F.map_from_arrays(kinds, counts)
+    return out.withColumn("bm25_features", F.struct(counted.alias("term_frequency"), F.size(w).alias("document_length"), F.size(kinds).alias("unique_terms")))
 
 
 def index_metadata(registry: DataFrame, chunks: DataFrame) -> DataFrame:

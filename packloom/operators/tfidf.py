@@ -83,8 +83,9 @@ def vocabulary(words: DataFrame, n: Column | int, max_features: int, ngrams: tup
 
     A row's terms are sorted in the row, so the first of each term counts for its chunks and nothing but counts by term is shuffled.
     """
-    terms = words.select(F.array_sort(grams("words", ngrams)).alias("terms"))
-    each = terms.select(F.explode(F.transform("terms", lambda t, i: F.struct(t.alias("term"), ((i == 0) | (t != F.get(F.col("terms"), i - 1))).alias("first")))).alias("x"))
+    terms = F.array_sort(grams("words", ngrams))
+    firsts = F.zip_with(terms, F.concat(F.array(F.lit("")), F.slice(terms, 1, F.greatest(F.size(terms) - 1, F.lit(0)))), lambda t, before: F.struct(t.alias("term"), (t != before).alias("first")))
+    each = words.select(F.explode(F.filter(firsts, lambda x: x["term"].isNotNull())).alias("x"))
     totals = each.groupBy(F.col("x.term").alias("term")).agg(F.count_if("x.first").alias("df"), F.count("*").alias("ctf"))
     top = totals.orderBy(F.desc("ctf"), "term").limit(max_features)  # at most max_features rows from here on
     index = F.row_number().over(Window.orderBy("term")) - 1

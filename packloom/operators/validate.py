@@ -12,15 +12,24 @@ COVERAGE = 95.0
 
 
 def structure(members: DataFrame) -> DataFrame:
-    """For each pack of a listing (``pack``, ``member``): missing required members, and whether only old metadata is there."""
-    have = members.groupBy("pack").agg(F.collect_set("member").alias("m"))
+    """For each pack of a listing (``pack``, ``member``, perhaps ``error``): what is wrong with it, and whether only old metadata is there."""
+    told = F.collect_set("error") if "error" in members.columns else F.array().cast("array<string>")
+    have = members.groupBy("pack").agg(F.collect_set("member").alias("m"), told.alias("told"))
     has = lambda name: F.array_contains("m", name)
-    errors = F.array(*[F.when(~has(n), F.lit(f"Missing required file: {n}")) for n in REQUIRED], F.when(~has("manifest.json") & ~has("metadata.json"), F.lit("Missing manifest.json or metadata.json")))
-    warning = F.when(~has("manifest.json") & has("metadata.json"), F.lit("Warning: legacy pack without manifest.json"))
-    errors = F.filter(errors, lambda e: e.isNotNull())
+    lacks = F.array(*[F.when(~has(n), F.lit(f"{n} is missing")) for n in REQUIRED], F.when(~has("manifest.json") & ~has("metadata.json"), F.lit("neither manifest.json nor metadata.json is there")))
+    warning = F.when(~has("manifest.json") & has("metadata.json"), F.lit("an old pack: metadata.json without manifest.json"))
+    errors = F.when(F.size("told") > 0, F.col("told")).otherwise(F.filter(lacks, lambda e: e.isNotNull()))
     return have.select("pack", (F.size(errors) == 0).alias("structure_ok"), errors.alias("errors"), warning.alias("warning"), has("citations.jsonl").alias("has_citations"))
 
 
+def quick(manifests: DataFrame, column: str = "manifest") -> DataFrame:
+    """Of packs with ``metadata.json`` (*other columns, JSON text): whether it names the pack, its model and its numbers."""
+    v = F.try_parse_json(column)
+    at = lambda k: F.try_variant_get(v, f"$.{k}", "string")
+    ok = v.isNotNull() & reduce(lambda a, b: a & b, [F.coalesce(F.length(at(k)) > 0, F.lit(False)) for k in ("pack_name", "created_at", "model_used", "num_chunks", "embedding_dim")])
+    return manifests.withColumn("quick_ok", ok).drop(column)
+
+
 def _kind(v: Column, *kinds: str) -> Column:
     name = F.lower(F.schema_of_variant(v))
     return F.coalesce(reduce(lambda a, b: a | b, [name.startswith(k) for k in kinds]), F.lit(False))

@@ -82,7 +82,9 @@ def cosine(table: str, where: str, k: int, usable: str = "TRUE") -> str:
 RULES = """rules AS (SELECT pack_id, 'R' || r AS rule, NOT coalesce((pack_version IS NULL AND r IN (1, 2)) OR (pack_version <> '1.1' AND r = 2), FALSE) AS ok FROM packs, range(1, 19) AS t(r))"""
 COVERAGE = """cov AS (SELECT pack_id, coalesce(c, 0) AS num_chunks, coalesce(m, 0) AS num_citations, CASE WHEN coalesce(c, 0) > 0 THEN coalesce(m, 0) / c * 100 ELSE 0.0 END AS share
     FROM (SELECT pack_id, count(*) AS c FROM chunks GROUP BY pack_id) FULL JOIN (SELECT pack_id, count(*) AS m FROM citations GROUP BY pack_id) USING (pack_id))"""
-HARBOUR = "SELECT row_number() OVER (ORDER BY chunk_index) - 1 AS chunk_index, text, CAST(length(text) AS DOUBLE) AS first_value, 2 AS dimension FROM chunks WHERE pack_id = 'pk-harbour' AND text IS NOT NULL"
+WRITTEN = """written AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS chunk_index, text, CAST(embedding[1] AS DOUBLE) AS first_value, CAST(embedding[384] AS DOUBLE) AS last_value, 384 AS dimension,
+    chunk_id, doc_id, start_char, end_char, page_number FROM chunk_vectors JOIN chunks USING (chunk_index) WHERE len(embedding) = 384 AND text IS NOT NULL)"""
+PACKED = f"WITH {WRITTEN} SELECT chunk_index, text, first_value, last_value, dimension FROM written"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -136,10 +138,22 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'dense' AS method, query_id, rank, chunk_index, score FROM dense WHERE rank <= 5 UNION ALL SELECT 'lexical', query_id, rank, chunk_index, score FROM ranked WHERE rank <= 5""",
         "result_format": f"""WITH {TFIDF}, {ASKED} SELECT query_id, string_agg(printf('%d. [Score: %.4f] %s', rank, CAST(round(CAST(score AS DECIMAL(18, 6)), 4) AS DOUBLE), {snippet('text')}), chr(10) || chr(10) ORDER BY rank) AS output
             FROM ranked JOIN documents ON doc_id = chunk_index WHERE rank <= 5 GROUP BY query_id""",
-        "pack_roundtrip_zip": HARBOUR,
-        "pack_roundtrip_dir": HARBOUR,
-        "pack_roundtrip_legacy": HARBOUR,
-        "pack_citations_roundtrip": "SELECT row_number() OVER (ORDER BY chunk_index) - 1 AS line, chunk_id, doc_id, start_char, end_char, page_number FROM chunks WHERE pack_id = 'pk-harbour' AND text IS NOT NULL",
+        "pack_roundtrip_zip": PACKED,
+        "pack_roundtrip_dir": PACKED,
+        "pack_roundtrip_legacy": PACKED,
+        "pack_roundtrip_csv": PACKED,
+        "pack_manifest_sources": """SELECT CAST(row_number() OVER (ORDER BY first_seq) - 1 AS INTEGER) AS place, doc_id, title, path, CAST(page_count AS BIGINT) AS page_count, CAST(char_count AS BIGINT) AS char_count
+            FROM source_documents s JOIN (SELECT doc_id, max(seq) AS seq, min(seq) AS first_seq FROM source_documents GROUP BY doc_id) f USING (doc_id, seq)""",
+        "enriched_terms": f"""SELECT chunk_index, term, count(*) AS tf FROM (SELECT chunk_index, unnest(string_split_regex(lower(t), '{WS_CLASS}+')) AS term FROM (
+            SELECT chunk_index, trim(text, {WS}) AS t FROM chunks WHERE length(trim(coalesce(text, ''), {WS})) > 0)) GROUP BY ALL""",
+        "chunk_fixed_repeated_ids": f"""WITH r AS (SELECT row_number() OVER () AS row, doc_id, trim(text, {WS}) AS t FROM chunks WHERE length(trim(coalesce(text, ''), {WS})) > 0),
+            win AS (SELECT row, doc_id, t, length(t) > 259 AS many, unnest(range(0, CASE WHEN length(t) <= 259 THEN 1 ELSE 1 + CAST(ceil((length(t) - 256) / 216.0) AS BIGINT) END)) AS i FROM r),
+            bare AS (SELECT row, doc_id, i, trim(CASE WHEN many THEN substring(t, i * 216 + 1, 256) ELSE t END, {WS}) AS p FROM win),
+            c AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY row ORDER BY i) - 1 AS INTEGER) AS chunk_id, length(p) AS n FROM bare WHERE length(p) > 0)
+            SELECT doc_id, chunk_id, count(*) AS n, CAST(sum(n) AS BIGINT) AS characters FROM c GROUP BY ALL""",
+        "stream_window_counts": """SELECT date_trunc('day', ingested_at)::TIMESTAMP AS day, source, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents
+            WHERE ingested_at IS NOT NULL AND source IS NOT NULL AND date_trunc('day', ingested_at) + INTERVAL 1 DAY <= (SELECT max(ingested_at) - INTERVAL 7 DAY FROM documents WHERE source IS NOT NULL) GROUP BY ALL""",
+        "pack_citations_roundtrip": f"WITH {WRITTEN} SELECT chunk_index AS line, chunk_id, doc_id, start_char, end_char, page_number FROM written",
         "manifest_validation": f"WITH {RULES} SELECT pack_id, rule, ok FROM rules",
         "citation_coverage": f"WITH {COVERAGE} SELECT pack_id, num_chunks, num_citations, round(share, 6) AS coverage, share >= 95 AS coverage_ok FROM cov",
         "pack_verdict": f"""WITH {RULES}, {COVERAGE} SELECT pack_id, pack_version IS NOT NULL AND bool_and(ok) AS valid, coalesce(any_value(share >= 95), FALSE) AS coverage_ok

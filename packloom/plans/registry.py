@@ -64,7 +64,11 @@ def _with_citations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
+    """A new place for files that Python writes: the shared folder must be one that all machines mount."""
+    root = shared_dir(spark)
+    if "://" in root and not root.startswith("file://"):
+        raise ValueError(f"packs are written to mounted folders, not to {root}")
+    return f"{root.removeprefix('file://').removeprefix('file:')}/{name}-{uuid.uuid4().hex}"
 
 
 def _sidecar(spark: SparkSession, d: str) -> DataFrame:
@@ -74,21 +78,23 @@ def _sidecar(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _written(spark: SparkSession, d: str, suffix: str, **how) -> str:
-    rows = _read(spark, d, "chunks").where("pack_id = 'pk-harbour' and text is not null")
-    rows = rows.withColumn("embedding", F.array(F.length("text").cast("float"), F.lit(1.0).cast("float")))
+    """One pack of all chunks that have a text and a vector of 384 values: a row for each such vector."""
+    vectors = _read(spark, d, "chunk_vectors").where("size(embedding) = 384").select("vec_id", "chunk_index", "embedding")
+    chunks = _read(spark, d, "chunks").where("text is not null").withColumn("snippet", chunk.snippet("text")).withColumns({"context_before": F.lit(""), "context_after": F.lit("")})
+    rows = vectors.join(chunks.select("chunk_index", "text", *citations.FIELDS), "chunk_index").drop("chunk_index").withColumnRenamed("vec_id", "chunk_index")
     path = _place(spark, "pack") + suffix
-    meta = pack.manifest(chunk.metadata(128, 20), embed.metadata("lengths", "1", 2), {"document_count": 0, "chunk_count": 0, "features": [], "timestamp": ""}, [], "pk-harbour", "2024-01-01T00:00:00")
-    extra = {"snippet": chunk.snippet("text"), "context_before": F.lit(""), "context_after": F.lit("")}
-    cites = None if how.get("legacy") else rows.select("chunk_index", *[extra[c].alias(c) if c in extra else c for c in citations.FIELDS])
-    pack.write(rows, cites, path, meta, **how)
+    registered = enrich.register(_read(spark, d, "source_documents"))
+    meta = pack.manifest_of(chunk.metadata(128, 20), embed.metadata("model", "1"), registered, rows, pack_id="all", created_at="2024-01-01T00:00:00")
+    pack.write(rows, None if how.get("legacy") else rows.select("chunk_index", *citations.FIELDS), path, meta, **how)
     return path
 
 
-def _roundtrip(suffix: str, **how) -> Callable[[SparkSession, str], DataFrame]:
+def _roundtrip(suffix: str, vectors: str = "npy", **how) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        path = _written(spark, d, suffix, **how)
-        v = pack.read(spark, path, "embeddings").select("chunk_index", F.col("embedding")[0].cast("double").alias("first_value"), F.size("embedding").alias("dimension"))
-        return pack.read(spark, path, "chunks").join(v, "chunk_index").select("chunk_index", "text", "first_value", "dimension")
+        path = f"{_written(spark, d, suffix, **how)[:-1]}?" if vectors == "npy" else _written(spark, d, suffix, **how)  # a pattern names one or many packs
+        value = lambda i: F.col("embedding")[i].cast("double")
+        v = pack.read(spark, path, "embeddings", vectors).select("chunk_index", value(0).alias("first_value"), value(383).alias("last_value"), F.size("embedding").alias("dimension"))
+        return pack.read(spark, path, "chunks").join(v, "chunk_index").select("chunk_index", "text", "first_value", "last_value", "dimension")
 
     return run
 
@@ -97,6 +103,14 @@ def _cited(spark: SparkSession, d: str) -> DataFrame:
     return pack.read(spark, _written(spark, d, ".zip"), "citations").select("line", "chunk_id", "doc_id", "start_char", "end_char", "page_number")
 
 
+def _sources(spark: SparkSession, d: str) -> DataFrame:
+    """What the manifest of a written pack says of its sources."""
+    meta = pack.read(spark, _written(spark, d, ".zip"), "manifest")
+    fields = "array<struct<doc_id: string, title: string, path: string, page_count: bigint, char_count: bigint>>"
+    rows = meta.select(F.posexplode(F.from_json(F.get_json_object("manifest", "$.source_documents"), fields)).alias("place", "s"))
+    return rows.select("place", "s.*")
+
+
 def _manifests(spark: SparkSession, d: str) -> DataFrame:
     """A manifest for each row of ``packs``; what is null there is missing in it."""
     fields = F.struct(
@@ -197,6 +211,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pack_roundtrip_zip": _roundtrip(".zip"),
         "pack_roundtrip_dir": _roundtrip("", compress=False),
         "pack_roundtrip_legacy": _roundtrip(".zip", legacy=True),
+        "pack_roundtrip_csv": _roundtrip("", "csv", compress=False),
+        "pack_manifest_sources": _sources,
+        "enriched_terms": lambda s, d: enrich.enrich(t(s, d, "chunks"), ("bm25_tf_idf",)).select("chunk_index", F.explode("bm25_features.term_frequency").alias("term", "tf")).withColumn("tf", F.col("tf").cast("long")),
+        "chunk_fixed_repeated_ids": lambda s, d: chunk.chunk(t(s, d, "chunks").where("text is not null").select("doc_id", "text"), 64, 10, False).groupBy("doc_id", "chunk_id").agg(F.count("*").alias("n"), F.sum("char_count").alias("characters")),
+        "stream_window_counts": lambda s, d: ingest.counted_until_empty(s, f"{d}/documents.parquet", _place(s, "windows")),
         "pack_citations_roundtrip": _cited,
         "manifest_validation": _rules,
         "citation_coverage": _coverage,

@@ -64,7 +64,7 @@ class Part(InputPartition):
 
 class PackReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.part = options.get("part", "chunks")
+        self.part, self.csv = options.get("part", "chunks"), options.get("vectors", "npy") == "csv"
         where = options["path"]
         self.paths = sorted(glob.glob(where)) if glob.has_magic(where) else [where]
         if not self.paths or not all(map(os.path.exists, self.paths)):
@@ -74,7 +74,7 @@ class PackReader(DataSourceReader):
         out: list[InputPartition] = []
         for path in self.paths:
             m = Members(path)
-            if self.part == "embeddings" and m.zip is None and "embeddings.npy" in m.names():
+            if self.part == "embeddings" and not self.csv and m.zip is None and "embeddings.npy" in m.names():
                 with m.open("embeddings.npy") as f:
                     n = npy.read_header(f)[1][0]
                 out += [Part(path, i, min(PER_TASK, n - i)) for i in range(0, max(n, 1), PER_TASK)]
@@ -107,7 +107,7 @@ class PackReader(DataSourceReader):
             yield (pack, None, "{}")
 
     def _vectors(self, m: Members, names: set[str], pack: str, p: Part) -> Iterator[tuple]:
-        if "embeddings.npy" in names:
+        if "embeddings.npy" in names and not self.csv:
             with m.open("embeddings.npy") as f:
                 if p.count >= 0:
                     rows = npy.read_rows(f, p.first, p.count)
@@ -143,27 +143,49 @@ class PackWriter(DataSourceWriter):
         self.compress = options.get("compress", "true").lower() == "true" or self.path.endswith(".zip")
         self.legacy = options.get("version", "1.1") == "legacy"
         self.manifest = options.get("manifest", "{}")
+        self.missing = options.get("missing", "error")
         self.pieces = f"{self.path}.pieces-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[Row]) -> Written:
         os.makedirs(self.pieces, exist_ok=True)
         base = os.path.join(self.pieces, uuid.uuid4().hex)
-        first, n, columns = -1, 0, 0
+        first, n, columns, waiting = -1, 0, -1, 0
+        blank = lambda: np.full(columns, np.nan, np.float32)
         with open(f"{base}.chunks", "w", encoding="utf-8") as c, open(f"{base}.npy", "wb") as v, open(f"{base}.csv", "w", encoding="utf-8") as t, open(f"{base}.citations", "w", encoding="utf-8") as q:
             for r in iterator:
                 first = r.chunk_index if first < 0 else first
-                x = np.asarray(r.embedding if r.embedding is not None else [], np.float32)
-                columns = len(x)
                 c.write((", " if n else "") + json.dumps(r.text, ensure_ascii=False))
-                v.write(x.tobytes())
-                t.write(",".join(f"{y:.18e}" for y in x.astype(np.float64)) + "\n")
+                if r.embedding is None:
+                    if self.missing != "nan":
+                        raise ValueError(f"chunk {r.chunk_index} has no vector")
+                    waiting += 1  # the width is known once a row has a vector
+                else:
+                    x = np.asarray(r.embedding, np.float32)
+                    if columns not in (-1, len(x)):
+                        raise ValueError(f"chunk {r.chunk_index} has a vector of {len(x)} values, those before have {columns}")
+                    columns = len(x)
+                    for y in [*[blank()] * waiting, x]:
+                        v.write(y.tobytes())
+                        t.write(",".join(f"{z:.18e}" for z in y.astype(np.float64)) + "\n")
+                    waiting = 0
                 q.write((r.citation or "{}") + "\n")
                 n += 1
+            for _ in range(waiting if columns >= 0 else 0):
+                v.write(blank().tobytes())
+                t.write(",".join(f"{z:.18e}" for z in blank().astype(np.float64)) + "\n")
         return Written(first, n, columns, base)
 
     def commit(self, messages: list[Written]) -> None:
         parts = sorted((m for m in messages if m and m.count), key=lambda m: m.first)
-        rows, columns = sum(m.count for m in parts), max([m.columns for m in parts], default=0)
+        widths = {m.columns for m in parts if m.columns >= 0}
+        if len(widths) > 1:
+            raise ValueError(f"vectors have {', '.join(map(str, sorted(widths)))} values; a pack holds vectors of one length")
+        rows, columns = sum(m.count for m in parts), max(widths, default=0)
+        for m in parts:
+            if m.columns < 0:  # a piece without any vector
+                with open(f"{m.path}.npy", "wb") as v, open(f"{m.path}.csv", "w", encoding="utf-8") as t:
+                    v.write(np.full(m.count * columns, np.nan, np.float32).tobytes())
+                    t.write((",".join(["nan"] * columns) + "\n") * m.count)
         folder = f"{self.path}.joined-{uuid.uuid4().hex}" if self.compress else self.path
         os.makedirs(folder, exist_ok=True)
         out = lambda name, head, kind, between, tail: self._join(os.path.join(folder, name), head, [f"{m.path}.{kind}" for m in parts], between, tail)
@@ -216,10 +238,10 @@ def use(spark: SparkSession) -> None:
     spark.dataSource.register(PackSource)
 
 
-def read(spark: SparkSession, path: str, part: str) -> DataFrame:
-    """One part of a pack or of all packs that a pattern names."""
+def read(spark: SparkSession, path: str, part: str, vectors: str = "npy") -> DataFrame:
+    """One part of a pack or of all packs that a pattern names. ``vectors`` = "csv" reads the text form of the vectors though there is a binary one."""
     use(spark)
-    return spark.read.format("pack").option("part", part).load(path)
+    return spark.read.format("pack").option("part", part).option("vectors", vectors).load(path)
 
 
 def manifest(chunker: dict, embedder: dict, indexer: dict, sources: list[dict], pack_id: str | None = None, created_at: str | None = None) -> dict:
@@ -232,27 +254,70 @@ def manifest(chunker: dict, embedder: dict, indexer: dict, sources: list[dict],
     }
 
 
-def write(chunks: DataFrame, citations: DataFrame | None, path: str, meta: dict, compress: bool = True, legacy: bool = False, partitions: int = 8) -> None:
+def manifest_of(chunker: dict, embedder: dict, registry: DataFrame, chunks: DataFrame, features: tuple[str, ...] = (), pack_id: str | None = None, created_at: str | None = None) -> dict:
+    """The manifest of a pack whose sources are those of a registry as ``enrich.register`` gives it, in order of their first registration.
+
+    A manifest lists every source, so the driver holds as many short rows as the pack has documents.
+    """
+    kept = [c for c in ("doc_id", "title", "path", "page_count", "char_count") if c in registry.columns]
+    rows = registry.orderBy("first_seq" if "first_seq" in registry.columns else "doc_id").select(*kept).collect()
+    when = created_at or datetime.now(UTC).isoformat()
+    index = {"document_count": len(rows), "chunk_count": chunks.count(), "features": list(features), "timestamp": when}
+    return manifest(chunker, embedder, index, [r.asDict() for r in rows], pack_id, when)
+
+
+def old_manifest(name: str, model: str, chunks: int, dimensions: int, created_at: str | None = None) -> dict:
+    """The ``metadata.json`` of packs without a version."""
+    return {"pack_name": name, "created_at": created_at or datetime.now(UTC).isoformat(), "model_used": model, "num_chunks": chunks, "embedding_dim": dimensions}
+
+
+def is_version(meta: dict, version: str = "1.1") -> bool:
+    """Whether a manifest is of ``version``; one without a version is of none."""
+    return meta.get("pack_version") == version
+
+
+def sample(spark: SparkSession, path: str, compress: bool = True) -> None:
+    """Write a small pack of three chunks with stand-in vectors and citations, to try things on."""
+    from packloom.operators import chunk, citations, embed  # the tasks that read packs do without them
+
+    texts = ["The glass furnace is lit before dawn. It cools for two days.", "Harbour fees are due on the first Monday.", "Seed orders close in March. Late orders wait a year."]
+    rows = spark.createDataFrame([(i, 0, f"note-{i}", t, 0, len(t)) for i, t in enumerate(texts)], "chunk_index long, chunk_id int, doc_id string, text string, start_char int, end_char int")
+    cites = citations.project(rows).join(rows.select("doc_id", "chunk_index"), "doc_id")
+    meta = manifest(chunk.metadata(128, 20), embed.metadata("stand-in", "1"), {"document_count": 3, "chunk_count": 3, "features": [], "timestamp": ""}, [{"doc_id": f"note-{i}", "title": f"Note {i}"} for i in range(3)], "sample")
+    write(embed.stand_in(rows), cites, path, meta, compress)
+
+
+def write(chunks: DataFrame, cited: DataFrame | None, path: str, meta: dict, compress: bool = True, legacy: bool = False, partitions: int = 8, missing: str = "error") -> None:
     """Write a pack of ``chunks`` (``chunk_index``, ``text``, ``embedding``), sorted by index, with a citation for each.
 
-    ``citations`` has ``chunk_index`` and the citation fields; a chunk without one gets an empty object.
+    ``cited`` has ``chunk_index`` and the citation fields; a chunk without one gets an empty object. A chunk
+    without a vector is an error, or with ``missing`` = "nan" a row of NaN; vectors of several lengths are an error.
     """
     spark = chunks.sparkSession
     use(spark)
     rows = chunks.select(F.col("chunk_index").cast("long").alias("chunk_index"), "text", F.col("embedding").cast("array<float>").alias("embedding"))
-    if citations is not None:
-        lines = citations.select("chunk_index", F.to_json(F.struct(*FIELDS), {"ignoreNullFields": "false"}).alias("citation"))
+    if cited is not None:
+        lines = cited.select("chunk_index", F.to_json(F.struct(*FIELDS), {"ignoreNullFields": "false"}).alias("citation"))
         rows = rows.join(lines, "chunk_index", "left")
     else:
         rows = rows.withColumn("citation", F.lit(None).cast("string"))
     rows = rows.select("chunk_index", "text", "embedding", "citation").repartitionByRange(partitions, "chunk_index").sortWithinPartitions("chunk_index")
-    rows.write.format("pack").option("compress", str(compress).lower()).option("version", "legacy" if legacy else "1.1").option("manifest", json.dumps(meta, ensure_ascii=False)).mode("append").save(path)
+    rows.write.format("pack").option("compress", str(compress).lower()).option("version", "legacy" if legacy else "1.1").option("manifest", json.dumps(meta, ensure_ascii=False)).option("missing", missing).mode("append").save(path)
 
 
 def members(spark: SparkSession, pattern: str) -> DataFrame:
-    """The listing (``pack``, ``member``) of all packs that a pattern names."""
-    rows = [(os.path.basename(p.rstrip("/")), n) for p in sorted(glob.glob(pattern)) for n in sorted(Members(p).names())]
-    return spark.createDataFrame(rows, "pack string, member string")
+    """The listing (``pack``, ``member``, ``error``) of all packs that a pattern names; one that can't be read is a row with an error and no member."""
+    paths = sorted(glob.glob(pattern)) if glob.has_magic(pattern) else [pattern]
+    rows: list[tuple[str, str | None, str | None]] = []
+    for p in paths:
+        name = os.path.basename(p.rstrip("/"))
+        try:
+            rows += [(name, n, None) for n in sorted(Members(p).names())] or [(name, None, None)]
+        except zipfile.BadZipFile:
+            rows.append((name, None, "not a zip file"))
+        except OSError as e:
+            rows.append((name, None, e.strerror or "unreadable"))
+    return spark.createDataFrame(rows, "pack string, member string, error string")
 
 
 def listing(files: DataFrame, name: str, suffix: str) -> DataFrame:

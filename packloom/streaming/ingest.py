@@ -42,3 +42,15 @@ def append(stream: DataFrame, path: str, checkpoint: str, sink: Callable[[DataFr
         (sink or (lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}")))(batch, number)
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each).start()
+
+
+def counted_until_empty(spark: SparkSession, path: str, place: str) -> DataFrame:
+    """``counts`` of the documents at ``path``, read as a stream until none is left, of the windows that are closed then.
+
+    A row without an arrival time or a source has no window of its own and isn't counted.
+    """
+    rows = parquet(spark, path).where("ingested_at is not null and source is not null")
+    query = counts(rows).writeStream.format("parquet").option("checkpointLocation", f"{place}/state").option("path", f"{place}/out").trigger(availableNow=True).start()
+    query.awaitTermination()
+    out = spark.read.schema("window struct<start: timestamp, end: timestamp>, source string, documents long, characters long").parquet(f"{place}/out")
+    return out.select(F.col("window.start").alias("day"), "source", "documents", "characters")
