@@ -2,7 +2,7 @@
 
 Method: NN-descent. Blocks around pivots give first neighbours; then, round after round, the neighbours of each
 vector are joined with each other through Spark and the better ones kept, until few change. The search runs on
-codes of four bits a value; an exact check orders what it leaves. Queries walk the graph greedily.
+codes of one byte a value; an exact check orders what it leaves. Queries walk the graph greedily.
 
 A vector's home is the block of its nearest pivot. A round's joins are made home by home, so a code is sent once to
 each home that needs it, not to each of the vectors there, and a home tells a vector only of its best finds.
@@ -54,18 +54,14 @@ def _raw(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 
 def _encoded(units: np.ndarray) -> list[bytes]:
-    """Four bits a value."""
-    q = np.rint(units * (7 / np.maximum(np.abs(units).max(axis=1, keepdims=True), 1e-30))).astype(np.int8)
-    q = (np.pad(q, ((0, 0), (0, q.shape[1] % 2))) + 8).astype(np.uint8)
-    return [r.tobytes() for r in q[:, ::2] << 4 | q[:, 1::2]]
+    """One byte a value."""
+    q = np.rint(units * (127 / np.maximum(np.abs(units).max(axis=1, keepdims=True), 1e-30))).astype(np.int8)
+    return [r.tobytes() for r in q]
 
 
 def _decoded(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
     """Unit vectors from their codes."""
-    b = _raw(column, (size + 1) // 2)
-    m = np.empty((len(b), 2 * b.shape[1]), np.float32)
-    m[:, ::2], m[:, 1::2] = b >> 4, b & 15
-    m = m[:, :size] - 8
+    m = _raw(column, size).view(np.int8).astype(np.float32)
     return m / np.sqrt(np.maximum((m * m).sum(axis=1, keepdims=True), 1e-30))
 
 

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from packloom.llm import classes, mix, neardup, neighbours, split
@@ -109,16 +110,38 @@ def test_nearest_of_few(spark):
     assert neighbours.nearest(make(3), size=2).count() == 6
 
 
-def test_search_recall(spark):
+def test_search_and_levels_on_many_clusters(spark, monkeypatch):
+    """More clusters than pivots, blocks split level by level, and a third of all vectors close together."""
+    monkeypatch.setattr(neighbours, "PIVOTS", 8)
+    monkeypatch.setattr(neighbours, "BLOCK", 32)
     rng = np.random.default_rng(5)
-    m = rng.standard_normal((500, 12)).astype(np.float32)
-    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "vec_id long, embedding array<float>")
-    nodes = neighbours.prepared(df, "vec_id", "embedding", 12).selectExpr("id as node", "q").cache()
-    edges = neighbours.graph(nodes, 12).cache()
-    found = neighbours.search(edges, nodes, nodes.where("node % 50 = 0").selectExpr("node as query", "q"), 12, 11).collect()
-    got = {(r["query"], r.node) for r in found if r["query"] != r.node}
-    want = {(a, b) for a, b in _exact(np.arange(500), m, 10) if a % 50 == 0}
-    assert len(got & want) >= 0.9 * len(want)
+    centres = rng.standard_normal((200, 24)) * 3
+    m = np.concatenate([centres[rng.integers(0, 200, 800)] + rng.standard_normal((800, 24)), centres[0] + 0.5 * rng.standard_normal((400, 24))]).astype(np.float32)
+    ids = rng.permutation(len(m))
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, m, strict=True)], "vec_id long, embedding array<float>")
+    exact = _exact(ids, m, 10)
+    found = {(r.id, r.other) for r in neighbours.search(df, df.where("vec_id % 10 = 0"), size=24).collect()}
+    want = {(a, b) for a, b in exact if a % 10 == 0}
+    assert len(found & want) >= 0.95 * len(want) and {a for a, _ in found} == {a for a, _ in want}
+    assert neighbours.search(df.limit(0), df, size=24).count() == 0
+
+
+def test_hot_buckets_and_packed_keys():
+    rng = np.random.default_rng(2)
+    n, held = 700, neardup.Packed(2)
+    same = rng.integers(0, 2**64, neardup.BANDS, dtype=np.uint64)
+    held.keys = [np.append(same[:1], rng.integers(0, 2**64, neardup.BANDS - 1, dtype=np.uint64)) for _ in range(n)]  # all share one key
+    held.name = 5
+    rows = held.rows()
+    batch = lambda r: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*r, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["part", "block", "n", "blob"])
+    again = [x for r in rows for b in neardup._repeated(iter([batch([r])])) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    cls, words = np.arange(n) * 7, np.tile(rng.integers(0, 2**62, 4), (n, 1))
+    who = pa.RecordBatch.from_arrays([pa.array([5] * (1 + len(again))), pa.array([True] + [False] * len(again)), pa.array([n] + [x[1] for x in again], pa.int32()), pa.array([cls.tobytes() + words.tobytes()] + [x[2] for x in again])], ["block", "who", "n", "blob"])
+    named = pa.Table.from_batches(list(neardup._named(iter([who])))).sort_by("bucket")
+    sizes = np.unique(named.column("bucket").to_numpy(), return_counts=True)[1]
+    assert sizes.max() <= 3 * neardup.BUCKET
+    pairs = [p for b in neardup._likely(iter(named.combine_chunks().to_batches())) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert len(set(pairs)) == n * (n - 1) // 2
 
 
 @pytest.mark.parametrize("text", ["word " * 400, "x" * 1000, "A sentence. " * 90 + "\n\n" + "Another one here. " * 60, "界" * 700 + "。" + "é" * 300, "é" * 600])

@@ -3,6 +3,7 @@
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 
 from packloom.llm import chars, language, leak, sentences, spam, unify
@@ -64,6 +65,7 @@ def test_leaks(spark):
     passage = "Nalostal said the old mirror used a narrower window in batch 17 but the sentence detector near Marorath explained all the repair steps"
     again = passage.replace("Nalostal", "Belomere").replace("17", "98").replace("Marorath", "Tamalund")
     items = spark.createDataFrame([(1, passage + "\nWhich holds?"), (2, passage), (3, None), (4, "too short"), (5, passage.split(" in ")[0])], "item_id long, text string")
+    assert leak.leaks(items.limit(0).withColumnRenamed("item_id", "doc_id"), items).count() == 0
     docs = spark.createDataFrame(
         [(10, "before " + passage.upper() + " after"), (11, again), (12, "nothing of it"), (13, None), (14, " ".join(passage.split()[:12])), (15, " ".join(passage.split()[:11])), (16, ("noise " * 50_000) + passage)],
         "doc_id long, text string",
@@ -76,6 +78,13 @@ def test_leaks(spark):
     assert leak.leaks(docs.limit(0), items).count() == 0 == leak.leaks(docs, items.limit(0)).count()
 
 
+def test_a_bloom_filter_misses_nothing(spark):
+    rng = np.random.default_rng(0)
+    h = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+    b = leak.Bloom.of(spark.createDataFrame([(int(x),) for x in h.view(np.int64)], "h long"), 5000)
+    assert b.has(h).all() and b.has(rng.integers(0, 2**64, 5000, dtype=np.uint64)).mean() < 0.05
+
+
 CASES = [
     ('He said: "It failed. Try again." The rest went on.', ['He said: "It failed. Try again."', "The rest went on."]),
     ("A heading\n\nOne line\nwraps here. Next one!\n- item one\n- item two", ["A heading", "One line\nwraps here.", "Next one!", "- item one", "- item two"]),
@@ -173,7 +182,7 @@ def test_spam_pages(spark):
 def test_spam_words_are_counted_on_all_pages(spark):
     texts = [f"The harbour log was read twice and rare{chr(97 + i % 20)} was kept." if i < 100 else "The old kiln log was read." for i in range(6000)]
     lexicon = spam.fitted(_docs(spark, texts, "1 as x"), "id").lexicon
-    assert {f"rare{chr(97 + i)}" for i in range(20)} <= lexicon.keys()
+    assert {spam._hash(f"rare{chr(97 + i)}") for i in range(20)} <= lexicon.keys()
 
 
 def test_spam_model_of_a_table_equals_that_of_its_texts(spark):
