@@ -81,3 +81,11 @@ def test_custom_tokenizer(spark):
     df = spark.createDataFrame([(1, "one two three four five six seven eight")], "doc_id long, text string")
     out = chunk.chunk(df, 3, 0, False, tokenizer=lambda: lambda t: len(t.split())).orderBy("chunk_id").collect()
     assert all(r.token_count <= 3 for r in out) and "".join(r.text for r in out).replace(" ", "") == "onetwothreefourfivesixseveneight"
+
+
+def test_repeated_ids_are_numbered_each(spark):
+    df = spark.createDataFrame([("d", "a" * 100), ("d", "b" * 100), ("e", None), ("f", "  ")], "doc_id string, text string")
+    for sentences in (False, True):
+        got = {(r.text[0], r.chunk_id) for r in chunk.chunk(df, 10, 2, sentences).collect()}
+        n = len(got) // 2
+        assert n > 2 and got == {(c, i) for c in "ab" for i in range(n)}

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from packloom.operators import validate
-from packloom.sources import npy, pack
+from packloom.sources import documents, npy, pack
 
 
 def _chunks(spark, n):
@@ -42,7 +42,7 @@ def test_csv_fallback_and_legacy(spark, tmp_path):
     assert pack.read(spark, path, "citations").count() == 0
     assert pack.read(spark, path, "manifest").first().member == "metadata.json"
     s = validate.structure(pack.members(spark, path)).first()
-    assert not s.structure_ok and s.errors == ["Missing required file: embeddings.npy"] and s.warning.startswith("Warning:")
+    assert not s.structure_ok and s.errors == ["embeddings.npy is missing"] and s.warning.startswith("an old pack")
 
 
 def test_npy_header_is_numpys(tmp_path):
@@ -86,3 +86,39 @@ def test_coverage_and_verdict(spark):
     m = spark.createDataFrame([("a",)] * 19 + [("b",)] * 18 + [("z",)], "pack_id string")
     got = {r.pack_id: (r.coverage, r.coverage_ok) for r in validate.coverage(c, m).collect()}
     assert got == {"a": (95.0, True), "b": (90.0, False), "z": (0.0, False)}
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame([(i, f"text {i}", v) for i, v in enumerate(rows)], "chunk_index long, text string, embedding array<float>").coalesce(1)
+
+
+def test_null_and_ragged_vectors(spark, tmp_path):
+    rows = _vectors(spark, [[1.0, 2.0, 3.0], None, [4.0, 5.0, 6.0]])
+    with pytest.raises(Exception, match="has no vector"):
+        pack.write(rows, None, str(tmp_path / "a.zip"), {})
+    with pytest.raises(Exception, match="values"):
+        pack.write(_vectors(spark, [[1.0, 2.0], [1.0]]), None, str(tmp_path / "b.zip"), {})
+    pack.write(_vectors(spark, [None, [1.0, 2.0, 3.0], None, [4.0, 5.0, 6.0]]), None, str(tmp_path / "c.zip"), {}, missing="nan", partitions=2)
+    for kind in ("npy", "csv"):
+        got = {r.chunk_index: r.embedding for r in pack.read(spark, str(tmp_path / "c.zip"), "embeddings", kind).collect()}
+        assert got[1] == [1.0, 2.0, 3.0] and got[3] == [4.0, 5.0, 6.0] and np.isnan(got[0]).all() and np.isnan(got[2]).all() and len(got[0]) == 3
+
+
+def test_broken_packs_are_rows(spark, tmp_path):
+    (tmp_path / "x.zip").write_bytes(b"not a zip")
+    pack.sample(spark, str(tmp_path / "y.zip"))
+    rows = {r.pack: r for r in validate.structure(pack.members(spark, str(tmp_path / "*.zip"))).collect()}
+    assert rows["x.zip"].errors == ["not a zip file"] and not rows["x.zip"].structure_ok and rows["y.zip"].structure_ok
+    gone = validate.structure(pack.members(spark, str(tmp_path / "none.zip"))).first()
+    assert not gone.structure_ok and len(gone.errors) == 1
+    assert pack.read(spark, str(tmp_path / "y.zip"), "chunks").count() == 3 and pack.is_version({"pack_version": "1.1"}) and not pack.is_version({})
+
+
+def test_pages_of_files_and_old_manifests(spark, tmp_path):
+    (tmp_path / "a.PDF").write_bytes(b"one|two")
+    (tmp_path / "b.pdf").write_bytes(b"\xff")
+    (tmp_path / "c.txt").write_bytes(b"three")
+    got = documents.pages_of_files(spark, str(tmp_path), lambda raw: raw.decode().split("|")).collect()
+    assert {(r.page, r.text, r.error is None) for r in got} == {(1, None, False), (1, "one", True), (2, "two", True)}
+    meta = spark.createDataFrame([(1, json.dumps(pack.old_manifest("p", "m", 3, 4))), (2, "{}"), (3, "no json")], "id long, manifest string")
+    assert {r.id: r.quick_ok for r in validate.quick(meta).collect()} == {1: True, 2: False, 3: False}
