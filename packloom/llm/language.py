@@ -1,7 +1,7 @@
 """Problem 3: missing or wrong document language labels.
 
 Method: averaged hashed subword embeddings with a linear softmax, trained by stochastic gradient descent in numpy
-on a bounded sample of the declared labels, with a temperature and a rejection threshold set on held-out units.
+on a bounded sample of the declared labels, with a temperature and a rejection threshold set on held-out texts.
 A text is a sequence of units (sentences or lines); the languages of its units are decided together, so a change
 of language needs evidence.
 """
@@ -229,31 +229,37 @@ def _descend(grams: list[np.ndarray], labels: np.ndarray, seed: int) -> tuple[np
 
 def train(rows: list[tuple[str, str]]) -> Model:
     """A model of (text, language code) rows; labels may be wrong in places, which a first model sorts out."""
-    spans = [(t[a:b], LANGUAGES.index(k)) for t, k in rows for a, b in units(t)]
     rng = np.random.default_rng(1)
-    keep, seen = [], np.zeros(len(LANGUAGES), np.int64)
+    held = rng.random(len(rows)) < HELD_OUT  # whole texts, before any model sees one
+    spans = [(t[a:b], LANGUAGES.index(k), i) for i, (t, k) in enumerate(rows) for a, b in units(t)]
+    keep, seen = [], np.zeros((2, len(LANGUAGES)), np.int64)
     for i in rng.permutation(len(spans)):
-        if seen[spans[i][1]] < PER_LANGUAGE and len(spans[i][0]) >= 3 * LEAST:
-            seen[spans[i][1]] += 1
+        t, k, row = spans[i]
+        if seen[int(held[row]), k] < PER_LANGUAGE and len(t) >= 3 * LEAST:
+            seen[int(held[row]), k] += 1
             keep.append(spans[i])
-    grams, labels = [], []
-    for t, k in keep:
+    grams, labels, texts = [], [], []
+    for t, k, row in keep:
         letters, _ = _folded([t])
         g = np.concatenate([b[begins] for b, begins in _grams(letters)]).astype(np.int64)
         if len(g):
             grams.append(g)
             labels.append(k)
-    labels = np.array(labels, np.int64)
-    if not len(labels):
+            texts.append(row)
+    labels, texts = np.array(labels, np.int64), np.array(texts, np.int64)
+    own = np.flatnonzero(~held[texts]) if len(texts) else texts
+    if not len(own):
         return Model(np.zeros((BUCKETS, len(LANGUAGES))), 1.0, 1.0)
-    e, w = _descend(grams, labels, 2)
+    e, w = _descend([grams[i] for i in own], labels[own], 2)
     scores = lambda: np.stack([(e[g].mean(axis=0)) @ w for g in grams])
     z = scores()
     p = np.exp(z - z.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
-    right = np.flatnonzero(p[np.arange(len(labels)), labels] >= 0.5)
-    test = right[: int(len(right) * HELD_OUT)]
-    fit = right[len(test) :]
+    fit = own[p[own, labels[own]] >= 0.5]
+    # a held-out text's label holds if its units as a whole have that language; its units that say otherwise are the errors
+    votes = np.zeros((len(rows), len(LANGUAGES)))
+    np.add.at(votes, texts, np.log(p + 1e-9))
+    test = np.flatnonzero(held[texts] & (votes[texts].argmax(axis=1) == labels))
     e, w = _descend([grams[i] for i in fit], labels[fit], 3)
     z, truth = scores()[test], labels[test]
     temperature, loss = 1.0, np.inf
